@@ -37,8 +37,5 @@ def read_peaks(spark: SparkSession, path: str) -> DataFrame:
         options = {"mode": "FAILFAST", "maxStringLen": "2147483647"}
         return F.get(F.from_json(whole, "array<string>", options), F.lit(0))
 
-    return (
-        spark.read.option("lineSep", "\n")
-        .text(path)
-        .select(text(parts[0]).alias("word"), text(parts[1]).alias("peak"))
-    )
+    lines = spark.read.text(path, lineSep="\n")
+    return lines.select(text(parts[0]).alias("word"), text(parts[1]).alias("peak"))

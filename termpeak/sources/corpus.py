@@ -13,21 +13,18 @@ def load_corpus(spark: SparkSession, path: str) -> DataFrame:
 
     ``label`` is the name of the file's directory and ``filename`` is
     ``label/name``, which stays unique where bare names recur across
-    directories. The whole file is the content, headers included.
+    directories. The whole file is the content, headers included. A file of
+    zero bytes gives no row: Spark skips it, and it has no words.
 
     Every file is a seek and an open. Read such a tree once, write it with
     :func:`~termpeak.sources.ndjson.write_ndjson` or as Parquet, and query that;
     for that one read, a smaller ``spark.sql.files.openCostInBytes`` packs more
     small files into a task.
     """
-    files = (
-        spark.read.option("wholetext", "true")
-        .option("recursiveFileLookup", "true")
-        .text(path)
-    )
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     # file_path is percent-encoded; url_decode would also turn + into a space
-    plain_path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    parts = F.split(plain_path, "/")
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    parts = F.split(F.url_decode(encoded), "/")
     label = F.element_at(parts, -2)
     return files.select(
         F.concat(label, F.lit("/"), F.element_at(parts, -1)).alias("filename"),

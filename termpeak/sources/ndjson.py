@@ -16,7 +16,7 @@ from termpeak.functions.records import (
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines as ``value``, split at newlines only, so a bare CR stays in its line."""
-    lines = spark.read.option("lineSep", "\n").text(path)
+    lines = spark.read.text(path, lineSep="\n")
     return lines.select(line_text(F.col("value")).alias("value"))
 
 
@@ -34,7 +34,7 @@ def decode_documents(lines: DataFrame) -> DataFrame:
     """
     checked = F.transform(
         F.array(parse_record(F.col("value"))),
-        lambda record: F.when(is_document(record), document(record)).otherwise(
+        lambda record: F.when(_accepted(record), document(record)).otherwise(
             F.raise_error(
                 F.concat(
                     F.lit("malformed document record: "),
@@ -52,11 +52,13 @@ def quarantine_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     Two DataFrames over the same input, each a narrow pass without a shuffle; an
     action on both reads the input twice.
     """
-    records = F.array(parse_record(F.col("value")))
+    line = F.col("value")
+    records = F.array(parse_record(line))
     accepted = F.transform(F.filter(records, _accepted), document)
+    rejected = F.transform(F.filter(records, lambda r: ~_accepted(r)), lambda _: line)
     return (
         lines.select(F.inline(accepted)),
-        lines.where(~F.exists(records, _accepted)).select(F.col("value").alias("line")),
+        lines.select(F.explode(rejected).alias("line")),
     )
 
 

@@ -1,0 +1,70 @@
+import pytest
+from brute import peaks_of
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from termpeak import format_peak, output_lines, peak_documents
+
+CASES = {
+    "plain": ([("a", "x x y"), ("b", "x y y y")], {"x": ("a", 2), "y": ("b", 3)}),
+    "tie goes to the smaller filename": ([("b", "x x"), ("a", "x x")], {"x": ("a", 2)}),
+    "filenames compare as text": ([("10", "x"), ("9", "x")], {"x": ("10", 1)}),
+    "filenames compare by bytes": ([("é", "x"), ("z", "x"), ("Z", "x")], {"x": ("Z", 1)}),
+    "records of one filename are not summed": (
+        [("a", "x x"), ("a", "x"), ("b", "x x x")],
+        {"x": ("b", 3)},
+    ),
+    "no letters": ([("a", "123 !?")], {}),
+    "no documents": ([], {}),
+}
+
+
+def peaks(docs):
+    return {r.word: (r.filename, r.n) for r in peak_documents(docs).collect()}
+
+
+@pytest.mark.parametrize("partitions", [1, 2, 8])
+@pytest.mark.parametrize("case", CASES)
+def test_peak(docs_of, case, partitions):
+    rows, expected = CASES[case]
+    assert peaks_of(rows) == expected
+    assert peaks(docs_of(rows, partitions)) == expected
+
+
+@settings(
+    max_examples=10,
+    deadline=None,
+    suppress_health_check=[HealthCheck.function_scoped_fixture],
+)
+@given(
+    st.lists(
+        st.tuples(st.sampled_from(["a", "b", "B", "10", "9"]), st.text("ab '", max_size=20)),
+        max_size=40,
+    )
+)
+def test_partitioning_does_not_change_the_answer(docs_of, rows):
+    expected = peaks_of(rows)
+    for partitions in (1, 2, 8):
+        assert peaks(docs_of(rows, partitions)) == expected
+
+
+def test_one_filename_holding_most_records(docs_of):
+    rows = [("hot", "the " * (i % 7 + 1) + f"w{'x' * (i % 5)}") for i in range(600)]
+    rows += [(f"cold{i}", "the the rare") for i in range(300)]
+    assert peaks(docs_of(rows, 8)) == peaks_of(rows)
+
+
+def test_types_and_columns(docs_of):
+    result = peak_documents(docs_of([("a", "x")]))
+    assert result.dtypes == [("word", "string"), ("filename", "string"), ("n", "bigint")]
+
+
+def test_format(docs_of):
+    result = format_peak(peak_documents(docs_of([("a", "x x")])))
+    assert [tuple(r) for r in result.collect()] == [("x", "<a, 2>")]
+
+
+def test_output_line(docs_of):
+    result = output_lines(peak_documents(docs_of([('q"\\é/\t', "x x")])))
+    (row,) = result.collect()
+    assert row.line.lower() == '"x"\t"<q\\"\\\\\\u00e9/\\t, 2>"'

@@ -1,0 +1,137 @@
+import io
+import re
+from contextlib import redirect_stdout
+from types import SimpleNamespace
+
+import pytest
+from pyspark.sql import functions as F
+
+from termpeak import (
+    decode_documents,
+    peak_documents,
+    quarantine_documents,
+    read_ndjson,
+    term_frequency,
+    tokenize,
+)
+from termpeak.plans.layout import GIB, MIB, cluster_settings, scratch_path, spread
+
+
+def plan_of(df):
+    """The physical plan, top operator first."""
+    text = io.StringIO()
+    with redirect_stdout(text):
+        df.explain()
+    return text.getvalue()
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    """Documents with more columns than the job needs, in eight Parquet files."""
+    path = str(tmp_path / "docs")
+    spark.range(0, 400, 1, 8).select(
+        F.col("id").cast("string").alias("filename"),
+        F.concat(F.lit("a b b c"), F.col("id").cast("string")).alias("content"),
+        F.lit("unused").alias("lang"),
+    ).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_counting_does_not_shuffle(stored):
+    for step in (term_frequency, tokenize):
+        plan = plan_of(step(stored))
+        assert "Exchange" not in plan
+        assert "Aggregate" not in plan
+
+
+def test_one_shuffle_after_a_partial_arg_max(stored):
+    plan = plan_of(peak_documents(stored))
+    assert plan.count("Exchange") == plan.count("Exchange hashpartitioning(word#") == 1
+    final, partial = plan.split("Exchange")
+    assert "functions=[min(struct" in final
+    assert "functions=[partial_min(struct" in partial
+    assert "Join" not in plan
+    assert "Window" not in plan
+
+
+def test_only_two_columns_are_read(stored):
+    assert "ReadSchema: struct<filename:string,content:string>" in plan_of(
+        peak_documents(stored)
+    )
+
+
+def test_nothing_runs_in_python(stored):
+    lines = stored.select(F.to_json(F.struct("filename", "content")).alias("value"))
+    for plan in (
+        plan_of(peak_documents(decode_documents(lines))),
+        *map(plan_of, quarantine_documents(lines)),
+    ):
+        assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_each_line_is_parsed_and_each_text_sorted_once(stored):
+    lines = stored.select(F.to_json(F.struct("filename", "content")).alias("value"))
+    accepted, rejected = quarantine_documents(lines)
+    for docs in (decode_documents(lines), accepted, rejected):
+        assert plan_of(docs).count("from_json(") == 1
+    plan = plan_of(peak_documents(decode_documents(lines)))
+    assert plan.count("from_json(") == 1
+    assert plan.count("sort_array(") == 1
+    assert plan.count("regexp_replace(") == 1
+
+
+def test_empty_words_are_dropped_above_the_generator(stored):
+    plan = plan_of(tokenize(stored))
+    assert plan.index("Filter") < plan.index("Generate explode")
+
+
+def test_spread_deals_out_a_small_input_only(spark, stored):
+    cores = spark.sparkContext.defaultParallelism
+    one = stored.coalesce(1)
+    assert spread(one).rdd.getNumPartitions() == cores
+    assert "RoundRobinPartitioning" in plan_of(spread(one))
+    many = spark.range(0, 10, 1, cores)
+    assert spread(many) is many
+
+
+def test_settings_grow_with_the_input():
+    small = cluster_settings(10 * GIB, cores=64)
+    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
+    assert small["spark.sql.shuffle.partitions"] == "64"
+    large = cluster_settings(100 * 1024 * GIB, cores=4000, shuffled_share=0.25)
+    assert large["spark.sql.files.maxPartitionBytes"] == str(GIB)
+    assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024 * GIB // GIB
+
+
+def test_settings_are_accepted_by_a_session(spark):
+    fresh = spark.newSession()
+    for key, value in cluster_settings(GIB, cores=4).items():
+        fresh.conf.set(key, value)
+        assert fresh.conf.get(key) == value
+
+
+class Session:
+    """What scratch_path asks of a session, with settings no live session may change."""
+
+    def __init__(self, master, **settings):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default: settings.get(key, default))
+
+
+def test_scratch_space_is_the_shared_folder():
+    session = Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    first, second = (scratch_path(session, "x") for _ in range(2))
+    assert first.startswith("hdfs:///shared/x-") and first != second
+
+
+def test_scratch_space_is_never_local_on_a_cluster(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_path(Session("spark://host:7077"), "x")
+    assert scratch_path(spark, "x").startswith("/")
+
+
+def test_read_ndjson_plans_one_scan(spark, tmp_path):
+    (tmp_path / "in.json").write_text('{"filename":"a","content":"x"}\n')
+    plan = plan_of(peak_documents(read_ndjson(spark, str(tmp_path / "in.json"))))
+    assert plan.count("FileScan text") == 1
+    assert plan.count("Exchange") == 1
