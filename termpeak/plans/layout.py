@@ -34,21 +34,24 @@ def cluster_settings(
 ) -> dict[str, str]:
     """Session settings for a job over ``text_bytes`` of stored text.
 
-    Two forces set the split size. Each map task sorts its (word, filename, n)
-    rows to pre-aggregate them, so small splits keep that sort in memory; but
-    every split sends a piece to every shuffle partition, so many splits make
-    tiny pieces. Splits stay at 128 MiB until that would be more than 100,000
-    tasks, then grow to 1 GiB, where the sort spills in long sequential runs.
+    Splits: each map task sorts its (word, filename, n) rows to pre-aggregate
+    them, so small splits keep that sort in memory; but every split sends a
+    piece to every shuffle partition, so many splits make tiny pieces. Splits
+    stay at 128 MiB until that would be more than 100,000 tasks, then grow to
+    1 GiB, where the sort spills in long sequential runs and pre-aggregation
+    removes more.
 
-    Shuffle partitions aim at 256 MiB each, given the share of the input that is
-    still there after pre-aggregation; adaptive execution merges what turns out
-    smaller. ``shuffled_share`` falls as splits grow; measure it on a sample.
+    Shuffle partitions: 256 MiB each, given the share of the input that is left
+    after pre-aggregation (measure it on a sample; it falls as splits grow).
+    Beyond 20,000 they grow instead, again into a sort that may spill, because
+    the driver keeps a bit for each pair of map task and partition. Adaptive
+    execution merges what turns out smaller.
     """
     split = min(GIB, max(128 * MIB, ceil(text_bytes / 100_000)))
-    partitions = max(cores, ceil(text_bytes * shuffled_share / (256 * MIB)))
+    partitions = min(20_000, ceil(text_bytes * shuffled_share / (256 * MIB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
-        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.shuffle.partitions": str(max(cores, partitions)),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * MIB),

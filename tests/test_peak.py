@@ -3,7 +3,14 @@ from brute import peaks_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from termpeak import format_peak, output_lines, peak_documents
+from termpeak import (
+    decode_documents,
+    encode_documents,
+    format_peak,
+    output_lines,
+    peak_documents,
+    quarantine_documents,
+)
 
 CASES = {
     "plain": ([("a", "x x y"), ("b", "x y y y")], {"x": ("a", 2), "y": ("b", 3)}),
@@ -68,3 +75,18 @@ def test_output_line(docs_of):
     result = output_lines(peak_documents(docs_of([('q"\\é/\t', "x x")])))
     (row,) = result.collect()
     assert row.line.lower() == '"x"\t"<q\\"\\\\\\u00e9/\\t, 2>"'
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_session_settings_do_not_change_the_answer(spark, ansi):
+    session = spark.newSession()
+    session.conf.set("spark.sql.ansi.enabled", ansi)
+    session.conf.set("spark.sql.adaptive.enabled", ansi)
+    rows = [("a", "x x y"), ("b", None), ("c", ""), ("d", "x y y")]
+    docs = session.createDataFrame(rows, "filename string, content string")
+    expected = peaks_of((name, content or "") for name, content in rows)
+    assert peaks(docs) == expected
+    lines = encode_documents(docs.where("content is not null"))
+    assert peaks(decode_documents(lines)) == expected
+    good, bad = quarantine_documents(encode_documents(docs))
+    assert (peaks(good), [r.line for r in bad.collect()]) == (expected, ['{"filename":"b"}'])

@@ -94,13 +94,20 @@ def test_spread_deals_out_a_small_input_only(spark, stored):
     assert spread(many) is many
 
 
-def test_settings_grow_with_the_input():
-    small = cluster_settings(10 * GIB, cores=64)
-    assert small["spark.sql.files.maxPartitionBytes"] == str(128 * MIB)
-    assert small["spark.sql.shuffle.partitions"] == "64"
-    large = cluster_settings(100 * 1024 * GIB, cores=4000, shuffled_share=0.25)
-    assert large["spark.sql.files.maxPartitionBytes"] == str(GIB)
-    assert int(large["spark.sql.shuffle.partitions"]) == 100 * 1024 * GIB // GIB
+@pytest.mark.parametrize(
+    ("text_bytes", "cores", "split", "partitions"),
+    [
+        (10 * GIB, 64, 128 * MIB, 64),
+        (1024 * GIB, 400, 128 * MIB, 2048),
+        (100_000 * 200 * MIB, 4000, 200 * MIB, 20_000),
+        (100 * 1024 * GIB, 4000, GIB, 20_000),
+        (100 * 1024 * GIB, 30_000, GIB, 30_000),
+    ],
+)
+def test_settings_grow_with_the_input(text_bytes, cores, split, partitions):
+    settings = cluster_settings(text_bytes, cores)
+    assert settings["spark.sql.files.maxPartitionBytes"] == str(split)
+    assert settings["spark.sql.shuffle.partitions"] == str(partitions)
 
 
 def test_settings_are_accepted_by_a_session(spark):

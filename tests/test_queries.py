@@ -1,13 +1,11 @@
 """Every registered query against its SQL, on the smallest tables."""
 
-import sys
 from collections import Counter
 from pathlib import Path
 
 import duckdb
 import pytest
 
-sys.path.insert(0, str(Path(__file__).parents[1]))
 import __spark_entry__ as registry
 
 DATA = Path("/root/testdata/sf0.001")
