@@ -17,8 +17,10 @@ def spread(scan: DataFrame) -> DataFrame:
 
     Normalising and counting are CPU work done where a document is read. A scan
     with fewer splits than cores would leave cores idle, so its documents are
-    dealt out round-robin; that shuffle is bounded by cores x split size. A scan
-    with enough splits, which any large input has, is returned as it is.
+    dealt out round-robin, which evens out any skew. The input is then smaller
+    than cores x split size, or it is compressed in a way that cannot be split
+    and has to be dealt out anyway. A scan with enough splits, which any large
+    input has, is returned as it is.
 
     For scans and steps without a shuffle only: on anything else, asking for the
     number of partitions would run part of the query.

@@ -61,6 +61,11 @@ def test_one_filename_holding_most_records(docs_of):
     assert peaks(docs_of(rows, 8)) == peaks_of(rows)
 
 
+def test_numeric_filenames_compare_as_text(spark):
+    docs = spark.createDataFrame([(9, "x"), (10, "x")], "filename long, content string")
+    assert peaks(docs) == {"x": ("10", 1)}
+
+
 def test_types_and_columns(docs_of):
     result = peak_documents(docs_of([("a", "x")]))
     assert result.dtypes == [("word", "string"), ("filename", "string"), ("n", "bigint")]
