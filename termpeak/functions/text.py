@@ -5,6 +5,8 @@ Everything here is a built-in JVM expression; nothing leaves the executor's JVM.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,14 +26,16 @@ def words(content: Column) -> Column:
     return F.split(normalize(content), " ")
 
 
-def _let(value: Column, body) -> Column:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once and use it many times within ``body``.
 
-    A lambda variable is the one place where Catalyst never substitutes the
-    defining expression back in, so the sorted words below are sorted once
-    rather than once per element.
+    A fold over no elements: it starts from ``value`` and finishes with ``body``.
+    Catalyst never substitutes an expression for a lambda variable, so the words
+    below are sorted once rather than once per word, and a fold, unlike a
+    transform, hands its result on without copying it.
     """
-    return F.transform(F.array(value), body)[0]
+    nothing = F.array().cast("array<int>")
+    return F.aggregate(nothing, value, lambda state, _: state, body)
 
 
 def term_counts(content: Column) -> Column:
