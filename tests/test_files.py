@@ -163,3 +163,33 @@ def test_corpus_to_peaks(spark, tmp_path):
     write_ndjson(load_corpus(spark, str(tmp_path / "c")), str(tmp_path / "nd"))
     peaks = peak_documents(read_ndjson(spark, str(tmp_path / "nd")))
     assert {r.word: (r.filename, r.n) for r in peaks.collect()} == peaks_of(rows)
+
+
+def test_lines_across_split_boundaries_are_read_once(spark, tmp_path):
+    rows = [(f"f{i}", f"w{'é' * (i % 9)} common {'x' * (i % 13)}") for i in range(300)]
+    path = write_lines(tmp_path / "in.json", [line(*row) for row in rows])
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "97")
+    docs = read_ndjson(session, path)
+    assert docs.rdd.getNumPartitions() > 100
+    assert sorted(tuple(r) for r in docs.collect()) == sorted(rows)
+    assert {r.word: (r.filename, r.n) for r in peak_documents(docs).collect()} == peaks_of(rows)
+
+
+def test_job_over_several_inputs(spark, tmp_path):
+    paths = [
+        write_lines(tmp_path / f"in{i}.json", [line(*row)]) for i, row in enumerate(ROWS)
+    ]
+    run_job(spark, paths, str(tmp_path / "list"))
+    run_job(spark, str(tmp_path / "in*.json"), str(tmp_path / "glob"))
+    assert output_of(tmp_path / "list") == output_of(tmp_path / "glob") == formatted(ROWS)
+
+
+def test_output_is_not_overwritten_unless_asked(spark, docs_of, tmp_path):
+    path = str(tmp_path / "out")
+    write_peaks(peak_documents(docs_of(ROWS[:1])), path)
+    with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+        write_peaks(peak_documents(docs_of(ROWS)), path)
+    assert output_of(path) == formatted(ROWS[:1])
+    write_peaks(peak_documents(docs_of(ROWS)), path, mode="overwrite")
+    assert output_of(path) == formatted(ROWS)
