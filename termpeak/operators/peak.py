@@ -10,10 +10,12 @@ def peak_document(frequencies: DataFrame) -> DataFrame:
     """``word``, ``filename``, ``n``: the highest count of each word and its document.
 
     Ties go to the smallest filename in binary order, so the answer depends on
-    neither partitioning nor retries; a numeric filename is compared as text. The pre-aggregation before the shuffle
-    keeps the count next to the filename; a combiner that hands on the filename
-    in place of the count would make the answer depend on where it happens to
-    run, so that reading of the job is deliberately not reproduced.
+    neither partitioning nor retries; a numeric filename is compared as text.
+
+    The pre-aggregation before the shuffle keeps the count next to the filename.
+    A combiner that hands on the filename in place of the count would make the
+    answer depend on where it happens to run, so that reading of the job is
+    deliberately not reproduced.
 
     One aggregate with a map-side stage does it all: a word found in every
     document crosses the network once per map task, not once per document.
