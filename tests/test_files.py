@@ -193,3 +193,17 @@ def test_output_is_not_overwritten_unless_asked(spark, docs_of, tmp_path):
     assert output_of(path) == formatted(ROWS[:1])
     write_peaks(peak_documents(docs_of(ROWS)), path, mode="overwrite")
     assert output_of(path) == formatted(ROWS)
+
+
+@pytest.mark.skipif("TERMPEAK_CORPUS" not in os.environ, reason="no corpus given")
+def test_whole_corpus(spark, tmp_path):
+    """Any directory tree of text files, from files to output, against brute force."""
+    root = Path(os.environ["TERMPEAK_CORPUS"])
+    rows = [
+        (f"{file.parent.name}/{file.name}", file.read_bytes().decode())
+        for file in root.rglob("*")
+        if file.is_file() and file.stat().st_size
+    ]
+    write_ndjson(load_corpus(spark, str(root)), str(tmp_path / "lines"))
+    run_job(spark, str(tmp_path / "lines"), str(tmp_path / "out"))
+    assert output_of(tmp_path / "out") == formatted(rows)
