@@ -14,6 +14,8 @@ from uuid import uuid4
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from termpeak.functions.binding import let
+
 # Spark's own limit on a variant value. No field of a shorter line can reach it.
 VARIANT_LIMIT = 128 * 1024 * 1024
 
@@ -22,14 +24,14 @@ VARIANT_LIMIT = 128 * 1024 * 1024
 # after the object either breaks the array or closes it before the mark is read.
 # The mark is new in each driver process so that no input can contain it.
 _MARK = "end_" + uuid4().hex
-_SCHEMA = f"array<struct<filename:variant,content:variant,{_MARK}:boolean>>"
 
-# No limits of the parser's own on long strings and numbers.
+# No limit of the parser's own on strings. Numbers stop at a length that is still
+# read quickly, since that time grows with the square of the digits.
 _OPTIONS = {
     "mode": "PERMISSIVE",
     "allowSingleQuotes": "false",
     "maxStringLen": "2147483647",
-    "maxNumLen": "2147483647",
+    "maxNumLen": "100000",
 }
 
 
@@ -40,32 +42,69 @@ def line_text(value: Column) -> Column:
     )
 
 
-def parse_record(line: Column) -> Column:
-    """One pass of the JSON parser over a line; test it with :func:`is_document`."""
-    wrapped = F.concat(F.lit("["), line, F.lit(f',{{"{_MARK}":true}}]'))
-    return F.from_json(wrapped, _SCHEMA, _OPTIONS)
+def document(line: Column) -> Column:
+    """``struct<filename, content>`` of a line that is a record, null of any other."""
+    return F.when(F.octet_length(line) < VARIANT_LIMIT, _short_document(line)).otherwise(
+        _long_document(line)
+    )
 
 
-def is_document(record: Column) -> Column:
-    """Whether a parsed record is one object with two string fields; never null."""
+def _parse(line: Column, field_type: str) -> Column:
+    """The marked line, its two fields read as the given type."""
+    schema = f"array<struct<filename:{field_type},content:{field_type},{_MARK}:boolean>>"
+    return F.from_json(
+        F.concat(F.lit("["), line, F.lit(f',{{"{_MARK}":true}}]')), schema, _OPTIONS
+    )
 
-    def is_string(field: str) -> Column:
-        return F.schema_of_variant(F.get(record, F.lit(0))[field]) == "STRING"
 
-    return F.coalesce(
-        (F.size(record) == 2)
-        & F.get(record, F.lit(1))[_MARK]
-        & is_string("filename")
-        & is_string("content"),
-        F.lit(False),
-    )
+def _is_whole(parsed: Column) -> Column:
+    return (F.size(parsed) == 2) & F.get(parsed, F.lit(1))[_MARK]
+
+
+def _is_string(variant: Column) -> Column:
+    return F.schema_of_variant(variant) == "STRING"
+
+
+def _short_document(line: Column) -> Column:
+    """One pass of the parser: a variant keeps the JSON type of each field."""
+
+    def checked(parsed: Column) -> Column:
+        record = F.get(parsed, F.lit(0))
+        filename, content = record["filename"], record["content"]
+        return F.when(
+            _is_whole(parsed) & _is_string(filename) & _is_string(content),
+            F.struct(
+                F.try_variant_get(filename, "$", "string").alias("filename"),
+                F.try_variant_get(content, "$", "string").alias("content"),
+            ),
+        )
+
+    return let(_parse(line, "variant"), checked)
+
+
+def _long_document(line: Column) -> Column:
+    """The same for lines of any length, at several passes.
+
+    A field too long for a variant is null as one. It is a string if it can be
+    read as text, which anything can, but not as an object or an array.
+    """
+    types = ("variant", "string", "map<string,string>", "array<string>")
+    parses = F.struct(*(_parse(line, t).alias(f"p{i}") for i, t in enumerate(types)))
 
+    def checked(parsed: Column) -> Column:
+        variant, text, *others = (
+            F.get(parsed[f"p{i}"], F.lit(0)) for i in range(len(types))
+        )
 
-def document(record: Column) -> Column:
-    """``struct<filename, content>`` of a record that passed :func:`is_document`."""
+        def is_string(field: str) -> Column:
+            verdict = text[field].isNotNull()
+            for other in others:
+                verdict &= other[field].isNull()
+            return F.coalesce(_is_string(variant[field]), verdict)
 
-    def text(field: str) -> Column:
-        value = F.get(record, F.lit(0))[field]
-        return F.try_variant_get(value, "$", "string").alias(field)
+        return F.when(
+            _is_whole(parsed["p1"]) & is_string("filename") & is_string("content"),
+            F.struct(text["filename"].alias("filename"), text["content"].alias("content")),
+        )
 
-    return F.struct(text("filename"), text("content"))
+    return let(parses, checked)

@@ -5,11 +5,11 @@ Everything here is a built-in JVM expression; nothing leaves the executor's JVM.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from termpeak.functions.binding import let
+
 # Fixed value: what normalising deletes. Deleted, not replaced by a space, so
 # words on both sides of a newline, a tab or an apostrophe are glued together.
 # The trailing + only makes the regex take a run of such characters at a time.
@@ -26,18 +26,6 @@ def words(content: Column) -> Column:
     return F.split(normalize(content), " ")
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Evaluate ``value`` once and use it many times within ``body``.
-
-    A fold over no elements: it starts from ``value`` and finishes with ``body``.
-    Catalyst never substitutes an expression for a lambda variable, so the words
-    below are sorted once rather than once per word, and a fold, unlike a
-    transform, hands its result on without copying it.
-    """
-    nothing = F.array().cast("array<int>")
-    return F.aggregate(nothing, value, lambda state, _: state, body)
-
-
 def term_counts(content: Column) -> Column:
     """``array<struct<word, n>>``: each distinct word of one text and its count.
 
@@ -54,7 +42,7 @@ def term_counts(content: Column) -> Column:
             # get() is null past the last word, which makes it a run's end
             lambda i: ~F.get(ordered, i - 1).eqNullSafe(F.get(ordered, i)),
         )
-        return _let(
+        return let(
             ends,
             lambda found: F.transform(
                 found,
@@ -67,4 +55,4 @@ def term_counts(content: Column) -> Column:
             ),
         )
 
-    return _let(F.sort_array(words(content)), runs)
+    return let(F.sort_array(words(content)), runs)

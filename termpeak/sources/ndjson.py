@@ -2,16 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termpeak.functions.records import (
-    VARIANT_LIMIT,
-    document,
-    is_document,
-    line_text,
-    parse_record,
-)
+from termpeak.functions.records import document, line_text
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -32,18 +26,10 @@ def decode_documents(lines: DataFrame) -> DataFrame:
     optimizer neither prunes nor evaluates twice: counting the rows checks them
     too, and each line is parsed once.
     """
-    checked = F.transform(
-        F.array(parse_record(F.col("value"))),
-        lambda record: F.when(_accepted(record), document(record)).otherwise(
-            F.raise_error(
-                F.concat(
-                    F.lit("malformed document record: "),
-                    F.coalesce(F.left(F.col("value"), F.lit(200)), F.lit("null")),
-                )
-            )
-        ),
-    )
-    return lines.select(F.inline(checked))
+    line = F.col("value")
+    start = F.coalesce(F.left(line, F.lit(200)), F.lit("null"))
+    error = F.raise_error(F.concat(F.lit("malformed document record: "), start))
+    return lines.select(F.inline(F.array(F.coalesce(document(line), error))))
 
 
 def quarantine_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -53,31 +39,17 @@ def quarantine_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     action on both reads the input twice.
     """
     line = F.col("value")
-    records = F.array(parse_record(line))
-    accepted = F.transform(F.filter(records, _accepted), document)
-    rejected = F.transform(F.filter(records, lambda r: ~_accepted(r)), lambda _: line)
+    records = F.array(document(line))
+    accepted = F.filter(records, lambda record: record.isNotNull())
+    rejected = F.transform(
+        F.filter(records, lambda record: record.isNull()), lambda _: line
+    )
     return (
         lines.select(F.inline(accepted)),
         lines.select(F.explode(rejected).alias("line")),
     )
 
 
-def _accepted(record: Column) -> Column:
-    """:func:`is_document`, but an error for a line too long to be judged.
-
-    Beyond Spark's variant limit a valid record cannot be told from a bad one,
-    and setting it aside would silently lose a document.
-    """
-    return (
-        F.when(is_document(record), F.lit(True))
-        .when(
-            F.octet_length(F.col("value")) > VARIANT_LIMIT,
-            F.raise_error(F.lit("record too long to be checked")).cast("boolean"),
-        )
-        .otherwise(F.lit(False))
-    )
-
-
 def encode_documents(docs: DataFrame) -> DataFrame:
     """``value``: each document as one JSON line."""
     return docs.select(F.to_json(F.struct("filename", "content")).alias("value"))
