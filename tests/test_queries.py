@@ -30,15 +30,15 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    assert registry._own_queries().keys() == registry._own_sql().keys()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry._own_queries())
 def test_query_equals_sql(spark, tables, name):
-    result = registry.queries()[name](spark, str(DATA))
+    result = registry._own_queries()[name](spark, str(DATA))
     columns = sorted(result.columns)
     got = Counter(tuple(row[c] for c in columns) for row in result.collect())
-    expected = tables.sql(registry.oracle_sql()[name])
+    expected = tables.sql(registry._own_sql()[name])
     assert sorted(expected.columns) == columns
     assert got == Counter(expected.project(", ".join(columns)).fetchall())
     if name in ROWS:
