@@ -9,12 +9,16 @@ from pyspark.sql import DataFrame, SparkSession
 from termpeak.llm.common import table
 from termpeak.llm.decontaminate import decontamination_query
 from termpeak.llm.simhash import simhash_query
+from termpeak.llm.toxicity import toxicity_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
         table(spark, sf, "documents"), table(spark, sf, "benchmark")
     ),
     "op8_simhash": lambda spark, sf: simhash_query(table(spark, sf, "documents")),
+    "op10_toxicity": lambda spark, sf: toxicity_query(
+        table(spark, sf, "documents"), table(spark, sf, "labels")
+    ),
 }
 
 ORACLE_SQL: dict[str, str] = {}

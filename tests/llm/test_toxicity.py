@@ -1,0 +1,103 @@
+"""The string kernel against its definition; the classifier on held-out labels."""
+
+import itertools
+import math
+
+import numpy as np
+import pytest
+
+from termpeak.llm.toxicity import (
+    DECAY,
+    LONGEST,
+    drop_toxic,
+    fit_machine,
+    kernel_matrix,
+    toxicity_query,
+    units_of,
+    windows_of,
+)
+
+
+def brute_kernel(s, t, order=3):
+    def weights(text):
+        text = "\x02" + text
+        out = {}
+        for chosen in itertools.combinations(range(len(text)), order):
+            key = "".join(text[k] for k in chosen)
+            out[key] = out.get(key, 0) + DECAY ** (chosen[-1] - chosen[0] + 1)
+        return out
+
+    a, b = weights(s), weights(t)
+    dot = lambda x, y: sum(v * y.get(k, 0) for k, v in x.items())
+    return dot(a, b) / math.sqrt(dot(a, a) * dot(b, b))
+
+
+def test_kernel_equals_its_definition():
+    words = ["idiot", "idxiot", "moron", "aaa", "banana", "the", "loser"]
+    expected = [[brute_kernel(s, t) for t in words] for s in words]
+    assert np.allclose(kernel_matrix(words, words), expected)
+
+
+def test_table_gives_the_kernel_machine():
+    bad, good = ["idiot", "moron"], ["banana", "other", "there", "moral"]
+    model = fit_machine(bad, good)
+    margins = model.margins(bad + good)
+    assert margins[:2].min() > 0 > margins[2:].max()
+    assert model.margins(["idxiot"])[0] > model.margins(["banana"])[0]
+
+
+def test_units_and_windows():
+    assert "idiot" in units_of("you I d i o t there")
+    assert units_of(None) == units_of("") == units_of(" \n") == set()
+    assert windows_of("i.d-i_o*t") == ["idiot"] and windows_of("!!") == []
+    long = "".join(chr(97 + k % 26) for k in range(1000))
+    pieces = windows_of(long)
+    assert all(len(p) <= LONGEST for p in pieces)
+    assert all(any(long[k : k + 12] in p for p in pieces) for k in range(989))
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    calm = ["the river runs over stones", "bread and butter for lunch", "she reads every long letter"]
+    docs, labels = [], []
+    for k in range(400):
+        toxic = k % 4 == 0
+        word = ("blockhead", "numbskull")[k // 4 % 2]
+        text = f"{calm[k % 3]} number {k} " + (f"you {word} there " if toxic else "") + calm[k // 3 % 3]
+        docs.append((k, text, 0.0))
+        if k < 300:
+            labels.append((k, int(toxic)))
+    docs += [(1000, None, 0.0), (1001, "", 0.0), (1001, "", 0.0), (None, "you blockhead", 0.0),
+             (1002, "word " * 20000 + "num.bskull", 0.0), (1003, "x" * 30000, 0.0), (1004, "b l o c k h e a d", 0.0),
+             (1005, "the blockxhead", 0.0)]
+    labels += [(1, 0), (None, 1), (2, None), (3, 7)]
+    return (
+        spark.createDataFrame(docs, "doc_id long, text string, score double"),
+        spark.createDataFrame(labels, "doc_id long, toxic int"),
+    )
+
+
+def test_finds_held_out_and_disguised_insults(spark, tables):
+    docs, labels = tables
+    rows = toxicity_query(docs, labels).collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.5) for r in rows)
+    verdict = {r["doc_id"]: r["predicted"] for r in rows}
+    assert all(verdict[k] == (k % 4 == 0) for k in range(400))
+    assert [verdict[k] for k in (1000, 1001, 1002, 1003, 1004, None)] == [0, 0, 1, 0, 1, 1]
+    assert verdict[1005] == 1
+
+
+def test_stage_drops_the_toxic(spark, tables):
+    docs, labels = tables
+    kept = drop_toxic(docs, labels)
+    assert kept.columns == docs.columns
+    ids = {r[0] for r in kept.collect()}
+    assert 4 not in ids and {1, 2, 3, 1000, 1001} <= ids
+
+
+def test_without_labels_nothing_is_rejected(spark, tables):
+    docs, labels = tables
+    for none in (labels.limit(0), labels.where("toxic = 0")):
+        assert {r["score"] for r in toxicity_query(docs, none).collect()} == {0.0}
+    assert toxicity_query(docs.limit(0), labels).count() == 0
