@@ -36,19 +36,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """The rows written to the shared checkpoint folder, with their lineage cut.
+def checkpoint_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the session's ``spark.checkpoint.dir``.
 
-    The folder is the session's ``spark.checkpoint.dir``. Where none is set, as in
-    tests, it is a folder below the warehouse.
+    Where none is set, as in tests, it is a folder below the warehouse.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+    return shared
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, with their lineage cut."""
+    context = frame.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(
-            shared or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
-        )
+        context.setCheckpointDir(checkpoint_folder(frame.sparkSession))
     return frame.checkpoint()
 
 

@@ -10,6 +10,7 @@ from termpeak.llm.common import table
 from termpeak.llm.decontaminate import decontamination_query
 from termpeak.llm.simhash import simhash_query
 from termpeak.llm.toxicity import toxicity_query
+from termpeak.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -19,6 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": lambda spark, sf: toxicity_query(
         table(spark, sf, "documents"), table(spark, sf, "labels")
     ),
+    "op6_line_dedup": lambda spark, sf: line_dedup_query(table(spark, sf, "documents")),
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_line_dedup": LINE_DEDUP_SQL,
+}
