@@ -11,6 +11,7 @@ from termpeak.llm.decontaminate import decontamination_query
 from termpeak.llm.simhash import simhash_query
 from termpeak.llm.toxicity import toxicity_query
 from termpeak.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
+from termpeak.llm.mixing import mixing_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         table(spark, sf, "documents"), table(spark, sf, "labels")
     ),
     "op6_line_dedup": lambda spark, sf: line_dedup_query(table(spark, sf, "documents")),
+    "op5_mixing": lambda spark, sf: mixing_query(table(spark, sf, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -1,0 +1,92 @@
+"""Raking against its definition, and the sample's shares."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from termpeak.llm.mixing import OTHER, TARGETS, cell_probabilities, mix, mixing_query, rake, sample_mix
+
+
+def test_raking_meets_the_margins_and_keeps_the_interactions():
+    draw = np.random.default_rng(1)
+    tokens = draw.integers(1, 1000, (4, 3, 2))
+    goals = [np.array(g) for g in ([0.1, 0.2, 0.3, 0.4], [0.5, 0.25, 0.25], [0.9, 0.1])]
+    weights = rake(tokens, targets=goals)
+    for axis, goal in enumerate(goals):
+        others = tuple(a for a in range(3) if a != axis)
+        assert np.allclose(weights.sum(axis=others), goal)
+    # odds ratios of the table do not change
+    odds = lambda t: t[0, 0, 0] * t[1, 1, 0] / (t[0, 1, 0] * t[1, 0, 0])
+    assert np.isclose(odds(weights), odds(tokens))
+
+
+def brute(rows, targets):
+    """Probabilities of (source, lang) cells by plain loops over dictionaries."""
+    cells = {}
+    for key, n in rows:
+        cells[key] = cells.get(key, 0) + n
+    weights = {k: float(n) for k, n in cells.items()}
+    for _ in range(3000):
+        for axis, goal in enumerate(targets.values()):
+            there = {k[axis] for k, n in cells.items() if n}
+            total = sum(goal.get(c, 0) for c in there)
+            for c in there:
+                sum_c = sum(w for k, w in weights.items() if k[axis] == c)
+                for k in weights:
+                    if k[axis] == c and sum_c:
+                        weights[k] *= goal.get(c, 0) / total / sum_c
+    ratio = {k: weights[k] / cells[k] for k in cells if cells[k]}
+    return {k: r / max(ratio.values()) for k, r in ratio.items()}
+
+
+def test_probabilities_equal_plain_loops():
+    targets = {"source": {"a": 0.2, "b": 0.5, OTHER: 0.3}, "lang": {"x": 0.6, "y": 0.4}}
+    rows = [(("a", "x"), 100), (("a", "y"), 7), (("b", "x"), 30), (("b", "y"), 60), ((OTHER, "x"), 90), ((OTHER, "y"), 11)]
+    got = {tuple(c): p for *c, p in cell_probabilities([(*k, n) for k, n in rows], targets)}
+    assert got == pytest.approx(brute(rows, targets), rel=1e-6)
+    assert max(got.values()) == 1
+
+
+def test_query_over_the_whole_small_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    rows = mixing_query(docs).collect()
+    texts = {r["doc_id"]: r for r in docs.collect()}
+    assert len(rows) == len(texts)
+    cells = [((r["source"], r["lang"], r["topic"]), r["n_tokens"]) for r in rows]
+    assert all(r["n_tokens"] == len(texts[r["doc_id"]]["text"].split()) for r in rows)
+    chance = brute(cells, TARGETS)
+    for r in rows:
+        assert r["probability"] == pytest.approx(chance[r["source"], r["lang"], r["topic"]], rel=1e-4, abs=1e-9)
+    assert {r["sampled"] for r in rows} == {True, False}
+
+
+def test_sample_has_the_target_shares(spark):
+    docs = spark.range(20_000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "big").otherwise(F.concat(F.lit("s"), F.col("id") % 5)).alias("source"),
+        F.when(F.col("id") % 7 < 5, "en").otherwise("de").alias("lang"),
+        F.concat(F.lit("some words of text "), "id").alias("text"),
+    )
+    targets = {"source": {"big": 0.1} | {f"s{k}": 0.18 for k in range(5)}, "lang": {"en": 0.5, "de": 0.5}}
+    kept = sample_mix(docs, targets)
+    n = kept.count()
+    shares = {r[0]: r[1] / n for r in kept.groupBy("source").count().collect()}
+    assert shares["big"] == pytest.approx(0.1, abs=0.02) and shares["s3"] == pytest.approx(0.18, abs=0.02)
+    assert kept.where("lang = 'de'").count() / n == pytest.approx(0.5, abs=0.02)
+    assert sorted(r[0] for r in sample_mix(docs.repartition(7), targets).select("doc_id").collect()) == sorted(
+        r[0] for r in kept.select("doc_id").collect()
+    )
+
+
+def test_odd_rows(spark):
+    rows = [(1, "a", None, None, 5), (1, "a", None, None, 5), (None, "b", "src1", "en", 5), (2, None, "src1", "en", 5),
+            (3, "", "nowhere", "xx", 5), (4, "word " * 20000, "src0", "en", 5), (5, "zero", "src0", "none", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, mix int")
+    out = mix(docs, TARGETS)
+    assert out.count() == len(rows)
+    got = out.select("doc_id", "mix.source", "mix.lang", "mix.n_tokens").collect()
+    assert [tuple(r) for r in got if r[0] == 1] == [(1, OTHER, OTHER, 1)] * 2
+    assert mix(docs, {"source": {"src0": 1.0}}).where("mix.sampled").select("doc_id").collect() == [(4,), (5,)]
+    assert mixing_query(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        mix(docs, {k: {str(n): 1.0 for n in range(400)} for k in ("source", "lang")})
