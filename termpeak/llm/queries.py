@@ -12,6 +12,8 @@ from termpeak.llm.simhash import simhash_query
 from termpeak.llm.toxicity import toxicity_query
 from termpeak.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 from termpeak.llm.mixing import mixing_query
+from termpeak.llm.quality_rules import quality_query
+from termpeak.llm.token_counts import token_counts_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -23,6 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     ),
     "op6_line_dedup": lambda spark, sf: line_dedup_query(table(spark, sf, "documents")),
     "op5_mixing": lambda spark, sf: mixing_query(table(spark, sf, "documents")),
+    "op7_quality_rules": lambda spark, sf: quality_query(table(spark, sf, "documents")),
+    "op4_token_counts": lambda spark, sf: token_counts_query(table(spark, sf, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
