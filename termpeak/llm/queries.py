@@ -14,6 +14,7 @@ from termpeak.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 from termpeak.llm.mixing import mixing_query
 from termpeak.llm.quality_rules import quality_query
 from termpeak.llm.token_counts import token_counts_query
+from termpeak.llm.license_scan import license_query, license_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -27,8 +28,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_mixing": lambda spark, sf: mixing_query(table(spark, sf, "documents")),
     "op7_quality_rules": lambda spark, sf: quality_query(table(spark, sf, "documents")),
     "op4_token_counts": lambda spark, sf: token_counts_query(table(spark, sf, "documents")),
+    "op1_license_scan": lambda spark, sf: license_query(table(spark, sf, "documents")),
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": license_sql(),
     "op6_line_dedup": LINE_DEDUP_SQL,
 }
