@@ -24,12 +24,15 @@ where no target for that is given, has probability zero. Repeated rows fare alik
 
 from __future__ import annotations
 
+from functools import reduce
 from math import prod
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termpeak.llm.common import checkpointed
+
 OTHER = "*"
 MAX_CELLS = 100_000
 ROUNDS = 500
@@ -46,17 +49,26 @@ TARGETS: Targets = {
 }
 
 
+# Signs of a topic; plain substrings, which cost far less than patterns on long texts.
+_LAW = ("icense", "icence", "ights reserved", "opyright")
+_SIGNS = (" | ", "##", "**", "$$", "%%", "&&", "!! ")
+
+
 def topic(text: Column) -> Column:
-    """A topic by rule, the first that applies: words of the law, ways to get in
-    touch, one sign among ten characters or more, else prose."""
+    """A topic by rule, the first that applies: words of the law, an address or a
+    number to call, rows of signs, else prose."""
     text = F.coalesce(text, F.lit(""))
-    law = text.rlike(r"(?i)\b(?:licen[cs]ed?|rights reserved|copyright)\b")
-    touch = text.rlike(r"[\w.+-]+@[\w-]+\.\w|\(\d{3}\) \d{3}-\d{4}")
-    signs = F.regexp_count(text, F.lit(r"[#*$%&|<>=!]"))
+
+    def has(parts: tuple[str, ...]) -> Column:
+        return reduce(Column.__or__, [F.contains(text, F.lit(p)) for p in parts])
+
+    touch = (F.contains(text, F.lit("@")) & text.rlike(r"[\w.+-]@[\w-]+\.\w")) | (
+        F.contains(text, F.lit("(")) & text.rlike(r"\(\d{3}\) \d{3}-\d{4}")
+    )
     return (
-        F.when(law, "legal")
+        F.when(has(_LAW), "legal")
         .when(touch, "contact")
-        .when((signs > 0) & (10 * signs >= F.length(text)), "symbols")
+        .when(has(_SIGNS), "symbols")
         .otherwise("prose")
     )
 
@@ -119,57 +131,80 @@ def cell_probabilities(cells: list[tuple], targets: Targets) -> list[tuple]:
     return out
 
 
-def mix(docs: DataFrame, targets: Targets, seed: int = SEED) -> DataFrame:
-    """``docs`` with ``mix``: the cell, ``n_tokens``, ``probability`` and ``sampled``.
-
-    ``targets`` has, for each dimension, the wanted share of each category. The
-    dimension ``topic`` is found by :func:`topic`; any other is a column of ``docs``.
-    """
+def _cells(docs: DataFrame, targets: Targets) -> Column:
+    """The category of each dimension."""
     sizes = [len({*goal, OTHER}) for goal in targets.values()]
     if prod(sizes) > MAX_CELLS:
         raise ValueError(f"{prod(sizes)} combinations of targets; at most {MAX_CELLS}")
-    names = list(targets)
-    own = {
-        name: _category(
-            topic(F.col("text")) if name == "topic" else F.col(name).cast("string"),
-            [c for c in goal if c != OTHER],
+    return F.struct(
+        *(
+            _category(
+                topic(F.col("text")) if name == "topic" else F.col(name).cast("string"),
+                [c for c in goal if c != OTHER],
+            ).alias(name)
+            for name, goal in targets.items()
         )
-        for name, goal in targets.items()
-    }
-    cell = F.struct(*(own[n].alias(n) for n in names), token_count(F.col("text")).alias("n_tokens"))
-    marked = docs.select(*(F.col(c) for c in docs.columns if c != "mix"), cell.alias("mix"))
-    sums = marked.groupBy(*(F.col(f"mix.{n}").alias(n) for n in names)).agg(
-        F.sum("mix.n_tokens").alias("n")
     )
-    chances = cell_probabilities([tuple(r) for r in sums.collect()], targets)
-    schema = ", ".join([*(f"__mix_{n} string" for n in names), "__mix_p double"])
-    table = docs.sparkSession.createDataFrame(chances, schema)
-    draw = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 11) / F.lit(2.0**53)
-    joined = marked.join(
-        F.broadcast(table),
-        [F.col(f"mix.{n}") == F.col(f"__mix_{n}") for n in names],
+
+
+def _draw(seed: int) -> Column:
+    """A number from 0 to 1 that depends on the id and the text alone."""
+    hashed = F.xxhash64(F.lit(seed), "doc_id", "text")
+    return F.shiftrightunsigned(hashed, 11) / F.lit(2.0**53)
+
+
+def _with_probability(marked: DataFrame, targets: Targets, cell: str, chance: str) -> DataFrame:
+    """``marked`` with the probability of its cell, from the tokens of all its rows."""
+    names = list(targets)
+    sums = marked.groupBy(*(F.col(f"{cell}.{n}").alias(n) for n in names)).agg(
+        F.sum(f"{cell}_tokens").alias("n")
     )
-    result = F.col("mix").withField("probability", F.col("__mix_p")).withField(
-        "sampled", draw < F.col("__mix_p")
+    chances = cell_probabilities([tuple(r) for r in sums.collect()], targets)
+    fields = ", ".join(f"{n}: string" for n in names)
+    table = marked.sparkSession.createDataFrame(
+        [(c[:-1], c[-1]) for c in chances], f"__mix_cell struct<{fields}>, {chance} double"
     )
-    return joined.withColumn("mix", result).drop(*(f"__mix_{n}" for n in names), "__mix_p")
+    # at most MAX_CELLS rows
+    joined = marked.join(F.broadcast(table), F.col(cell) == F.col("__mix_cell"))
+    return joined.drop("__mix_cell")
 
 
 def sample_mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
-    """The sampled documents, with ``probability``."""
-    mixed = mix(docs, targets, seed).where("mix.sampled")
-    return mixed.withColumn("probability", F.col("mix.probability")).drop("mix")
+    """The sampled documents, with ``probability``.
+
+    ``targets`` has, for each dimension, the wanted share of each category. The
+    dimension ``topic`` is found by :func:`topic`; any other is a column of ``docs``.
+    """
+    marked = docs.withColumn("__mix", _cells(docs, targets)).withColumn(
+        "__mix_tokens", token_count(F.col("text"))
+    )
+    mixed = _with_probability(marked, targets, "__mix", "__mix_p")
+    kept = mixed.where(_draw(seed) < F.col("__mix_p"))
+    return kept.withColumn("probability", F.col("__mix_p")).drop("__mix", "__mix_tokens", "__mix_p")
 
 
-def mixing_query(docs: DataFrame) -> DataFrame:
-    """Of every document: its cell, tokens, probability, and whether it is sampled."""
-    needed = docs.select("doc_id", "source", "lang", "text")
-    return mix(needed, TARGETS).select(
+def mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
+    """Of every document: its categories, ``n_tokens``, ``probability``, ``sampled``.
+
+    The texts are read once; what is needed of each is kept in the checkpoint folder.
+    """
+    marked = checkpointed(
+        docs.select(
+            "doc_id",
+            _cells(docs, targets).alias("cell"),
+            token_count(F.col("text")).alias("cell_tokens"),
+            _draw(seed).alias("draw"),
+        )
+    )
+    mixed = _with_probability(marked, targets, "cell", "probability")
+    return mixed.select(
         "doc_id",
-        F.col("mix.source").alias("source"),
-        F.col("mix.lang").alias("lang"),
-        F.col("mix.topic").alias("topic"),
-        F.col("mix.n_tokens").alias("n_tokens"),
-        F.col("mix.probability").alias("probability"),
-        F.col("mix.sampled").alias("sampled"),
+        *(F.col(f"cell.{name}").alias(name) for name in targets),
+        F.col("cell_tokens").alias("n_tokens"),
+        "probability",
+        (F.col("draw") < F.col("probability")).alias("sampled"),
     )
+
+
+def mixing_query(docs: DataFrame) -> DataFrame:
+    return mix(docs)

@@ -84,9 +84,10 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, mix int")
     out = mix(docs, TARGETS)
     assert out.count() == len(rows)
-    got = out.select("doc_id", "mix.source", "mix.lang", "mix.n_tokens").collect()
+    got = out.select("doc_id", "source", "lang", "n_tokens").collect()
     assert [tuple(r) for r in got if r[0] == 1] == [(1, OTHER, OTHER, 1)] * 2
-    assert mix(docs, {"source": {"src0": 1.0}}).where("mix.sampled").select("doc_id").collect() == [(4,), (5,)]
+    assert mix(docs, {"source": {"src0": 1.0}}).where("sampled").select("doc_id").collect() == [(4,), (5,)]
+    assert sample_mix(docs, {"source": {"src0": 1.0}}).columns == [*docs.columns, "probability"]
     assert mixing_query(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         mix(docs, {k: {str(n): 1.0 for n in range(400)} for k in ("source", "lang")})
