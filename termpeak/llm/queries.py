@@ -16,6 +16,7 @@ from termpeak.llm.quality_rules import quality_query
 from termpeak.llm.token_counts import token_counts_query
 from termpeak.llm.license_scan import license_query, license_sql
 from termpeak.llm.lm_score import lm_query
+from termpeak.llm.html_extract import extraction_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": lambda spark, sf: token_counts_query(table(spark, sf, "documents")),
     "op1_license_scan": lambda spark, sf: license_query(table(spark, sf, "documents")),
     "op9_lm_score": lambda spark, sf: lm_query(table(spark, sf, "documents")),
+    "op3_html_extract": lambda spark, sf: extraction_query(table(spark, sf, "pages")),
 }
 
 ORACLE_SQL: dict[str, str] = {
