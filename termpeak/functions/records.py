@@ -25,13 +25,15 @@ VARIANT_LIMIT = 128 * 1024 * 1024
 # The mark is new in each driver process so that no input can contain it.
 _MARK = "end_" + uuid4().hex
 
-# No limit of the parser's own on strings. Numbers stop at a length that is still
-# read quickly, since that time grows with the square of the digits.
+# No limit of the parser's own on strings. Numbers and nesting stop at lengths far
+# beyond any record meant to be read; the time to read a number grows with the
+# square of its digits, and each level of nesting holds memory.
 _OPTIONS = {
     "mode": "PERMISSIVE",
     "allowSingleQuotes": "false",
     "maxStringLen": "2147483647",
-    "maxNumLen": "100000",
+    "maxNumLen": "1000000",
+    "maxNestingDepth": "20000",
 }
 
 

@@ -17,10 +17,14 @@ def peak_document(frequencies: DataFrame) -> DataFrame:
     answer depend on where it happens to run, so that reading of the job is
     deliberately not reproduced.
 
+    A null filename raises an error, as a record without one does: it could neither
+    be written out nor take part in a tie.
+
     One aggregate with a map-side stage does it all: a word found in every
     document crosses the network once per map task, not once per document.
     """
-    filename = F.col("filename").cast("string").alias("filename")
+    missing = F.raise_error(F.lit("a document without a filename"))
+    filename = F.coalesce(F.col("filename").cast("string"), missing).alias("filename")
     best = F.min(F.struct((-F.col("n")).alias("negated"), filename))
     return (
         frequencies.groupBy("word")

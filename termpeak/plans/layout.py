@@ -2,35 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
 from math import ceil
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use every core on an input too small to be split across them.
-
-    Normalising and counting are CPU work done where a document is read. A scan
-    with fewer splits than cores would leave cores idle, so its documents are
-    dealt out round-robin, which evens out any skew. The input is then smaller
-    than cores x split size, or it is compressed in a way that cannot be split
-    and has to be dealt out anyway. A scan with enough splits, which any large
-    input has, is returned as it is.
-
-    For scans and steps without a shuffle only: on anything else, asking for the
-    number of partitions would run part of the query.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    if scan.rdd.getNumPartitions() >= cores:
-        return scan
-    return scan.repartition(cores)
-
-
 def cluster_settings(
     text_bytes: int, cores: int, shuffled_share: float = 0.5
 ) -> dict[str, str]:
@@ -45,12 +26,13 @@ def cluster_settings(
 
     Shuffle partitions: 256 MiB each, given the share of the input that is left
     after pre-aggregation (measure it on a sample; it falls as splits grow).
-    Beyond 20,000 they grow instead, again into a sort that may spill, because
-    the driver keeps a bit for each pair of map task and partition. Adaptive
+    Beyond 100,000 they grow instead, into a sort that may spill: for every map
+    task the driver keeps a bit for each partition, 1.25 GB for 100,000 of both.
+    100 TB at the default share makes partitions of about 525 MiB. Adaptive
     execution merges what turns out smaller.
     """
     split = min(GIB, max(128 * MIB, ceil(text_bytes / 100_000)))
-    partitions = min(20_000, ceil(text_bytes * shuffled_share / (256 * MIB)))
+    partitions = min(100_000, ceil(text_bytes * shuffled_share / (256 * MIB)))
     return {
         "spark.sql.files.maxPartitionBytes": str(split),
         "spark.sql.shuffle.partitions": str(max(cores, partitions)),
@@ -60,15 +42,31 @@ def cluster_settings(
     }
 
 
+def stored_bytes(spark: SparkSession, paths: str | list[str]) -> int:
+    """Bytes of the files below the paths, from their metadata alone."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    return files.load(paths).agg(F.sum("length")).first()[0] or 0
+
+
+def apply_settings(
+    spark: SparkSession, settings: dict[str, str], given: dict[str, str | None] | None = None
+) -> dict[str, str]:
+    """Set what the session was not started with; ``given`` overrides both."""
+    started = spark.sparkContext.getConf()
+    chosen = {k: v for k, v in settings.items() if not started.contains(k)}
+    chosen |= {k: v for k, v in (given or {}).items() if v is not None}
+    for key, value in chosen.items():
+        spark.conf.set(key, value)
+    return chosen
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that every executor shares.
 
-    That folder is ``spark.checkpoint.dir``. Only a local session may do
-    without it, as then all executors are on this machine.
+    That folder is ``spark.checkpoint.dir`` or, where none is set, one below the
+    session's warehouse. Nothing here deletes it: it belongs to whoever set it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="termpeak-")
+        shared = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/scratch"
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"

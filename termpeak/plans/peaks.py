@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from termpeak.operators.peak import peak_document
 from termpeak.operators.term_frequency import term_frequency
-from termpeak.plans.layout import spread
 from termpeak.sinks.lines import write_peaks
-from termpeak.sources.ndjson import decode_documents, quarantine_documents, read_lines
+from termpeak.sources.ndjson import (
+    decode_documents,
+    decoded_lines,
+    malformed_lines,
+    observed_documents,
+    raw_lines,
+)
 
 
 def peak_documents(docs: DataFrame) -> DataFrame:
@@ -24,16 +29,35 @@ def run_job(
     input_path: str | list[str],
     output_path: str,
     rejects_path: str | None = None,
+    partitions: int | None = None,
 ) -> None:
     """JSON lines in, peak lines out.
 
-    A malformed line fails the job, unless ``rejects_path`` is given: then such
-    lines are written there and the rest is computed without them.
+    A malformed line fails the job, unless ``rejects_path`` is given: then the peaks
+    are computed without such lines, and they are written there, byte for byte, in a
+    second pass that is made only if there are any. Both paths must not exist, which
+    is checked before any work.
+
+    ``partitions`` deals the lines out anew before they are counted. That shuffles
+    the whole input, which pays only for one that cannot be split, such as a few
+    large compressed files.
     """
-    lines = spread(read_lines(spark, input_path))
+    for path in (output_path, rejects_path):
+        if path is not None and path_exists(spark, path):
+            raise FileExistsError(f"{path} exists already")
+    raw = raw_lines(spark, input_path)
+    if partitions is not None:
+        raw = raw.repartition(partitions)
+    lines = decoded_lines(raw)
     if rejects_path is None:
-        docs = decode_documents(lines)
-    else:
-        docs, rejects = quarantine_documents(lines)
-        rejects.write.text(rejects_path)
-    write_peaks(peak_documents(docs), output_path)
+        write_peaks(peak_documents(decode_documents(lines)), output_path)
+        return
+    rejects = Observation("rejects")
+    write_peaks(peak_documents(observed_documents(lines, rejects)), output_path)
+    if rejects.get["rejects"]:
+        malformed_lines(raw_lines(spark, input_path)).write.text(rejects_path)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

@@ -8,26 +8,54 @@ from pyspark.sql import functions as F
 from termpeak.functions.records import line_text
 
 
-def load_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """``filename``, ``content``, ``label`` of every file below ``path``.
+def load_corpus(spark: SparkSession, path: str, hidden: str = "fail") -> DataFrame:
+    """``filename``, ``content``, ``label`` of every file below the directory ``path``.
 
-    ``label`` is the name of the file's directory and ``filename`` is
-    ``label/name``, which stays unique where bare names recur across
-    directories. The whole file is the content, headers included. A file of
-    zero bytes gives no row: Spark skips it, and it has no words.
+    ``filename`` is the file's path below ``path``, so it is unique; ``label`` is the
+    name of the file's directory. The whole file is the content, headers included. A
+    file of zero bytes gives no row: Spark skips it, and it has no words.
+
+    Spark's readers pass over files and directories whose names begin with ``_`` or
+    ``.``. If there are any, this raises a ``ValueError`` that names some of them;
+    ``hidden="skip"`` leaves them out instead.
 
     Every file is a seek and an open. Read such a tree once, write it with
     :func:`~termpeak.sources.ndjson.write_ndjson` or as Parquet, and query that;
     for that one read, a smaller ``spark.sql.files.openCostInBytes`` packs more
     small files into a task.
     """
+    if hidden not in ("fail", "skip"):
+        raise ValueError(f"hidden={hidden!r}; one of 'fail' and 'skip'")
+    root, passed_over = _look_at(spark, path)
+    if passed_over and hidden == "fail":
+        raise ValueError(f"not readable by Spark, as hidden: {', '.join(passed_over)}")
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
     # file_path is percent-encoded; url_decode would also turn + into a space
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    parts = F.split(F.url_decode(encoded), "/")
-    label = F.element_at(parts, -2)
+    full = F.url_decode(encoded)
+    # the path without scheme and host, which have one to three slashes
+    plain = F.regexp_replace(full, "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
+    below = F.substring(plain, F.lit(len(root) + 2), F.length(plain))
     return files.select(
-        F.concat(label, F.lit("/"), F.element_at(parts, -1)).alias("filename"),
+        below.alias("filename"),
         line_text(F.col("value")).alias("content"),
-        label.alias("label"),
+        F.element_at(F.split(full, "/"), -2).alias("label"),
     )
+
+
+def _look_at(spark: SparkSession, path: str, most: int = 5) -> tuple[str, list[str]]:
+    """The directory's plain path, and some hidden names at any depth below it."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    root = system.resolvePath(hadoop.Path(path))
+    special = "\\*?[]{}"
+    literal = "".join(f"\\{c}" if c in special else c for c in root.toString())
+    found: list[str] = []
+    level = literal
+    while len(found) < most:
+        hits = system.globStatus(hadoop.Path(f"{level}/[_.]*"))
+        found += [hits[k].getPath().toString() for k in range(min(len(hits), most))]
+        level += "/*"
+        if not len(system.globStatus(hadoop.Path(level))):
+            break
+    return root.toUri().getPath().rstrip("/"), found[:most]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from termpeak.functions.records import document, line_text
@@ -10,7 +10,16 @@ from termpeak.functions.records import document, line_text
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Lines as ``value``, split at newlines only, so a bare CR stays in its line."""
-    lines = spark.read.text(path, lineSep="\n")
+    return decoded_lines(raw_lines(spark, path))
+
+
+def raw_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines as ``value``, whatever their bytes are."""
+    return spark.read.text(path, lineSep="\n")
+
+
+def decoded_lines(lines: DataFrame) -> DataFrame:
+    """Lines with every ``value`` as valid text."""
     return lines.select(line_text(F.col("value")).alias("value"))
 
 
@@ -50,6 +59,22 @@ def quarantine_documents(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
+def observed_documents(lines: DataFrame, rejects: Observation) -> DataFrame:
+    """The documents of the well-formed lines; the others are counted as ``rejects``.
+
+    One pass over the input. The count is there once an action has run.
+    """
+    parsed = lines.select(document(F.col("value")).alias("record"))
+    missing = F.count(F.when(F.col("record").isNull(), 1)).alias("rejects")
+    counted = parsed.observe(rejects, missing)
+    return counted.where(F.col("record").isNotNull()).select("record.*")
+
+
+def malformed_lines(raw_lines: DataFrame) -> DataFrame:
+    """``value``, with the bytes as they were read, of the lines that are no record."""
+    return raw_lines.where(document(line_text(F.col("value"))).isNull())
+
+
 def encode_documents(docs: DataFrame) -> DataFrame:
     """``value``: each document as one JSON line."""
     return docs.select(F.to_json(F.struct("filename", "content")).alias("value"))

@@ -120,18 +120,77 @@ def test_job_with_rejects(spark, tmp_path):
     assert sorted(rejects) == sorted(bad)
 
 
-def test_command_line(tmp_path):
+def raw_rejects(path):
+    return sorted(
+        text
+        for file in Path(path).glob("part-*")
+        for text in file.read_bytes().split(b"\n")[:-1]
+    )
+
+
+def test_rejects_are_the_bytes_of_the_input(spark, tmp_path):
+    good = line(*ROWS[0]).encode()
+    bad = b'{"filename":"caf\xe9"}'
+    (tmp_path / "in.json").write_bytes(good + b"\n" + bad + b"\n")
+    run_job(spark, str(tmp_path / "in.json"), str(tmp_path / "out"), str(tmp_path / "rejects"))
+    assert raw_rejects(tmp_path / "rejects") == [bad]
+    assert output_of(tmp_path / "out") == formatted(ROWS[:1])
+
+
+def test_no_rejects_no_second_pass(spark, tmp_path, monkeypatch):
+    path = write_lines(tmp_path / "in.json", [line(*row) for row in ROWS])
+    monkeypatch.setattr("termpeak.plans.peaks.malformed_lines", None)
+    run_job(spark, path, str(tmp_path / "out"), str(tmp_path / "rejects"))
+    assert output_of(tmp_path / "out") == formatted(ROWS)
+    assert not (tmp_path / "rejects").exists()
+
+
+@pytest.mark.parametrize("taken", ["out", "rejects"])
+def test_paths_are_checked_before_any_work(spark, tmp_path, taken):
+    path = write_lines(tmp_path / "in.json", ["{}", *(line(*row) for row in ROWS)])
+    (tmp_path / taken).mkdir()
+    with pytest.raises(FileExistsError, match=taken):
+        run_job(spark, path, str(tmp_path / "out"), str(tmp_path / "rejects"))
+    other = {"out": "rejects", "rejects": "out"}[taken]
+    assert not (tmp_path / other).exists()
+
+
+def test_lines_can_be_dealt_out_by_name(spark, tmp_path):
     path = write_lines(tmp_path / "in.json", [line(*row) for row in ROWS])
-    submit = "--master local[2] --conf spark.ui.enabled=false pyspark-shell"
-    subprocess.run(
-        [sys.executable, "-m", "termpeak", path, str(tmp_path / "out")],
+    run_job(spark, path, str(tmp_path / "out"), partitions=3)
+    assert output_of(tmp_path / "out") == formatted(ROWS)
+
+
+def command_line(*arguments, submit=""):
+    submit = f"--master local[2] --conf spark.ui.enabled=false {submit} pyspark-shell"
+    done = subprocess.run(
+        [sys.executable, "-m", "termpeak", *map(str, arguments)],
         cwd=Path(__file__).parents[1],
         env={**os.environ, "PYSPARK_SUBMIT_ARGS": submit},
         check=True,
         timeout=120,
         capture_output=True,
+        text=True,
     )
+    text = next(x for x in done.stdout.splitlines() if x.startswith("settings:"))
+    return json.loads(text.removeprefix("settings:"))
+
+
+def test_command_line(tmp_path):
+    path = write_lines(tmp_path / "in.json", [line(*row) for row in ROWS])
+    settings = command_line(path, tmp_path / "out")
     assert output_of(tmp_path / "out") == formatted(ROWS)
+    assert settings["spark.sql.shuffle.partitions"] == "2"
+    assert settings["spark.sql.files.maxPartitionBytes"] == str(128 << 20)
+
+
+def test_command_line_settings_give_way(tmp_path):
+    path = write_lines(tmp_path / "in.json", [line(*row) for row in ROWS])
+    settings = command_line(
+        path, tmp_path / "out", "--split-bytes", "50", submit="--conf spark.sql.shuffle.partitions=3"
+    )
+    assert settings["spark.sql.files.maxPartitionBytes"] == "50"
+    assert "spark.sql.shuffle.partitions" not in settings
 
 
 def test_load_corpus(spark, tmp_path):
@@ -155,6 +214,26 @@ def test_load_corpus(spark, tmp_path):
     }
 
 
+def test_load_corpus_keeps_names_apart(spark, tmp_path):
+    for name in ("g/1", "deep/a/g/1", "deep/b/g/1"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(name)
+    docs = load_corpus(spark, str(tmp_path))
+    got = {r.filename: (r.content, r.label) for r in docs.collect()}
+    assert got == {n: (n, "g") for n in ("g/1", "deep/a/g/1", "deep/b/g/1")}
+
+
+@pytest.mark.parametrize("name", ["g/_2", "g/.3", "_h/4", "deep/a/b/_c/5"])
+def test_load_corpus_names_what_it_cannot_read(spark, tmp_path, name):
+    for each in ("g/1", name):
+        (tmp_path / "some tree" / each).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "some tree" / each).write_text("x")
+    path = str(tmp_path / "some tree")
+    with pytest.raises(ValueError, match="hidden"):
+        load_corpus(spark, path)
+    assert [r.filename for r in load_corpus(spark, path, hidden="skip").collect()] == ["g/1"]
+
+
 def test_corpus_to_peaks(spark, tmp_path):
     rows = [("g/1", "x x\ny"), ("h/1", "x x x"), ("h/2", "y, y")]
     for name, content in rows:

@@ -2,6 +2,7 @@ import pytest
 from brute import peaks_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PySparkException
 
 from termpeak import (
     decode_documents,
@@ -95,3 +96,9 @@ def test_session_settings_do_not_change_the_answer(spark, ansi):
     assert peaks(decode_documents(lines)) == expected
     good, bad = quarantine_documents(encode_documents(docs))
     assert (peaks(good), [r.line for r in bad.collect()]) == (expected, ['{"filename":"b"}'])
+
+
+def test_a_null_filename_is_an_error(spark, docs_of):
+    docs = docs_of([("a", "x y"), (None, "x")])
+    with pytest.raises(PySparkException, match="without a filename"):
+        peak_documents(docs).collect()

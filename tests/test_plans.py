@@ -14,7 +14,14 @@ from termpeak import (
     term_frequency,
     tokenize,
 )
-from termpeak.plans.layout import GIB, MIB, cluster_settings, scratch_path, spread
+from termpeak.plans.layout import (
+    GIB,
+    MIB,
+    apply_settings,
+    cluster_settings,
+    scratch_path,
+    stored_bytes,
+)
 
 
 def plan_of(df):
@@ -87,13 +94,10 @@ def test_empty_words_are_dropped_above_the_generator(stored):
     assert plan.index("Filter") < plan.index("Generate explode")
 
 
-def test_spread_deals_out_a_small_input_only(spark, stored):
-    cores = spark.sparkContext.defaultParallelism
-    one = stored.coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == cores
-    assert "RoundRobinPartitioning" in plan_of(spread(one))
-    many = spark.range(0, 10, 1, cores)
-    assert spread(many) is many
+def test_a_scan_is_never_dealt_out(spark, stored):
+    """Not even one that is a split short of the cores."""
+    for few in (stored, stored.coalesce(spark.sparkContext.defaultParallelism - 1)):
+        assert "RoundRobinPartitioning" not in plan_of(peak_documents(few))
 
 
 @pytest.mark.parametrize(
@@ -101,9 +105,9 @@ def test_spread_deals_out_a_small_input_only(spark, stored):
     [
         (10 * GIB, 64, 128 * MIB, 64),
         (1024 * GIB, 400, 128 * MIB, 2048),
-        (100_000 * 200 * MIB, 4000, 200 * MIB, 20_000),
-        (100 * 1024 * GIB, 4000, GIB, 20_000),
-        (100 * 1024 * GIB, 30_000, GIB, 30_000),
+        (100_000 * 200 * MIB, 4000, 200 * MIB, 39_063),
+        (100 * 1024 * GIB, 4000, GIB, 100_000),
+        (100 * 1024 * GIB, 130_000, GIB, 130_000),
     ],
 )
 def test_settings_grow_with_the_input(text_bytes, cores, split, partitions):
@@ -119,24 +123,36 @@ def test_settings_are_accepted_by_a_session(spark):
         assert fresh.conf.get(key) == value
 
 
+def test_settings_give_way_to_the_sessions_own(spark, tmp_path):
+    (tmp_path / "a.json").write_text("x" * 1000)
+    assert stored_bytes(spark, str(tmp_path)) == 1000
+    fresh = spark.newSession()
+    chosen = apply_settings(
+        fresh,
+        {"spark.sql.shuffle.partitions": "77", "spark.sql.files.maxPartitionBytes": "1000"},
+        {"spark.sql.files.maxPartitionBytes": "2000"},
+    )
+    # the test session was started with its own number of partitions
+    assert chosen == {"spark.sql.files.maxPartitionBytes": "2000"}
+    assert fresh.conf.get("spark.sql.files.maxPartitionBytes") == "2000"
+
+
 class Session:
     """What scratch_path asks of a session, with settings no live session may change."""
 
-    def __init__(self, master, **settings):
-        self.sparkContext = SimpleNamespace(master=master)
-        self.conf = SimpleNamespace(get=lambda key, default: settings.get(key, default))
+    def __init__(self, **settings):
+        self.conf = SimpleNamespace(get=lambda key, default=None: settings.get(key, default))
 
 
 def test_scratch_space_is_the_shared_folder():
-    session = Session("spark://host:7077", **{"spark.checkpoint.dir": "hdfs:///shared/"})
+    session = Session(**{"spark.checkpoint.dir": "hdfs:///shared/"})
     first, second = (scratch_path(session, "x") for _ in range(2))
     assert first.startswith("hdfs:///shared/x-") and first != second
 
 
-def test_scratch_space_is_never_local_on_a_cluster(spark):
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        scratch_path(Session("spark://host:7077"), "x")
-    assert scratch_path(spark, "x").startswith("/")
+def test_scratch_space_is_else_below_the_warehouse():
+    session = Session(**{"spark.sql.warehouse.dir": "hdfs:///warehouse"})
+    assert scratch_path(session, "x").startswith("hdfs:///warehouse/scratch/x-")
 
 
 def test_read_ndjson_plans_one_scan(spark, tmp_path):

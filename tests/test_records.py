@@ -24,7 +24,10 @@ ACCEPTED = {
     '{"filename":"a","content":"x","more":{"k":1,"k":2}}': ("a", "x"),
     '{"filename":"a","content":"x","more":-Infinity}': ("a", "x"),
     '{"filename":"a","content":"x","more":' + "1" * 3000 + "}": ("a", "x"),
-    '{"filename":"a","content":"x","more":' + "[" * 600 + "]" * 600 + "}": ("a", "x"),
+    '{"filename":"a","content":"x","more":' + "[" * 999 + "]" * 999 + "}": ("a", "x"),
+    '{"filename":"a","content":"x","more":' + "[" * 5000 + "]" * 5000 + "}": ("a", "x"),
+    '{"filename":"a","content":"x","more":1.' + "1" * 100_002 + "}": ("a", "x"),
+    '{"filename":"a","content":"x","more":{"' + "k" * 50_000 + '":1}}': ("a", "x"),
     '{"more":{"filename":"z"},"filename":"a","content":"x"}': ("a", "x"),
 }
 REJECTED = [
@@ -99,6 +102,27 @@ def test_well_formed_lines_are_decoded(spark):
     assert sorted(tuple(r) for r in got) == sorted(ACCEPTED.values())
 
 
+@pytest.mark.parametrize(
+    ("more", "accepted"),
+    [
+        ("[" * 19_990 + "]" * 19_990, True),
+        ("[" * 20_000 + "]" * 20_000, False),
+        ("1." + "1" * 999_990, True),
+        ("1." + "1" * 1_000_001, False),
+        ("1" * 5000, True),
+        ('{"' + "k" * 50_000 + '":1}', True),
+        ('{"' + "k" * 50_001 + '":1}', False),
+        ("-INF", True),
+        ("+INF", True),
+    ],
+)
+def test_limits_that_stay(spark, more, accepted):
+    """Both sides of each limit of Spark's parser named in the README."""
+    line = f'{{"filename":"a","content":"x","more":{more}}}'
+    docs, rejects = quarantine_documents(lines_df(spark, [line]))
+    assert (docs.count(), rejects.count()) == ((1, 0) if accepted else (0, 1))
+
+
 def test_quarantine_splits_good_from_bad(spark):
     docs, rejects = quarantine_documents(lines_df(spark, [*ACCEPTED, *REJECTED]))
     assert sorted(tuple(r) for r in docs.collect()) == sorted(ACCEPTED.values())
