@@ -263,3 +263,48 @@ def decontamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join(hits["items"], ","), 256).alias("items_sha256"),
         contaminated(hits).alias("contaminated"),
     )
+
+
+def _words_sql(text: str) -> str:
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    lowered = f"translate({text}, '{upper}', '{upper.lower()}')"
+    spaced = f"regexp_replace({lowered}, '[^0-9a-z\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g')"
+    return f"list_filter(string_split(coalesce({spaced}, ''), ' '), lambda w: w <> '')"
+
+
+DECONTAMINATION_SQL = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, {_words_sql("text")} AS w FROM documents
+),
+items AS (
+    SELECT item_id, w, least({WINDOW}, len(w)) AS k
+    FROM (SELECT item_id, {_words_sql("text")} AS w FROM benchmark)
+),
+windows AS (
+    SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS run
+    FROM (SELECT *, unnest(range(1, len(w) - k + 2)) AS i FROM items WHERE k > 0)
+),
+runs AS (
+    SELECT r, i, k, array_to_string(w[i:i + k - 1], ' ') AS run
+    FROM (
+        SELECT d.r, d.w, s.k, unnest(range(1, len(d.w) - s.k + 2)) AS i
+        FROM docs d JOIN (SELECT DISTINCT k FROM windows) s ON len(d.w) >= s.k
+    )
+),
+found AS (
+    SELECT DISTINCT r, i, k, item_id FROM runs JOIN windows USING (k, run)
+),
+marked AS (
+    SELECT r, count(DISTINCT word) AS n_hit
+    FROM (SELECT r, unnest(range(i, i + k)) AS word FROM found) GROUP BY r
+),
+listed AS (
+    SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+    FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM found WHERE item_id IS NOT NULL)
+    GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {COVERAGE} * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM docs LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from termpeak.llm.common import table
-from termpeak.llm.decontaminate import decontamination_query
+from termpeak.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from termpeak.llm.simhash import simhash_query
 from termpeak.llm.toxicity import toxicity_query
 from termpeak.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
@@ -37,5 +37,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_sql(),
+    "op2_decontaminate": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
 }
