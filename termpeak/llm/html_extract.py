@@ -51,7 +51,7 @@ _ROLES = frozenset(
 )
 # Words of a class or id that say the same of any element.
 _SAYS = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense banner banners breadcrumb "
+    "ad ads adsbygoogle adsense adv advert adverts advertisement advertising alert banner banners breadcrumb "
     "breadcrumbs comment comments commentlist consent cookie cookies disqus footer gdpr menu "
     "modal nav navbar navigation newsletter notice notices overlay popup promo promotion "
     "related replies reply respond share sharing sidebar sidebars skip social sponsor "
@@ -59,6 +59,14 @@ _SAYS = frozenset(
 )
 # And those that say it outside an article only, where they are a page's header.
 _OUTSIDE = frozenset(["header", "masthead", "topbar"])
+# An article that says this is none: a reader's comment, an advert, a teaser.
+_NO_ARTICLE = frozenset(
+    "ad ads advert advertisement comment comments promo promotion related reply sponsor "
+    "sponsored teaser".split()
+)
+# Words by which an element speaks of the page's layout and not of itself.
+_LAYOUT = frozenset("has with no without layout page".split())
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _MAIN = ("article", "main")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
 
@@ -78,10 +86,14 @@ def boilerplate(node: Node, inside: bool) -> bool:
         return node.tag == "header" and not inside
     if "hidden" in own or own.get("aria-hidden") == "true" or own.get("role", "") in _ROLES:
         return True
+    if _UNSEEN.search(own.get("style", "")):
+        return True
     if node.tag in ("html", "body"):
         return False
     said = _said(node)
-    if said & _SAYS and not (node.tag in _MAIN and "comment" not in said and "comments" not in said):
+    if node.tag in _MAIN:
+        return bool(said & _NO_ARTICLE)
+    if said & _SAYS and not said & _LAYOUT:
         return True
     return not inside and (node.tag == "header" or bool(said & _OUTSIDE))
 

@@ -43,6 +43,14 @@ def test_article_without_all_the_rest():
     )
 
 
+def test_words_about_the_layout_and_articles_that_are_none():
+    html = """<body class="has-sidebar"><div class="page-with-sidebar"><main class="with-menu">
+<article class="post has-banner"><p>Text</p><p style="display: none">unseen</p>
+<article class="comment"><p>Reader</p></article></article>
+<article class="teaser related"><p>A longer text about something else entirely</p></article></main></div>"""
+    assert Wrapper("").text_of(html) == "Text"
+
+
 def page_of(k, body):
     return f"""<html><body><div class="head"><p>The Daily Page</p></div><div class="wrap"><div class="text">
 <p>Story {k} begins here and has a good many words of its own.</p><p>{body}</p><p>Read our terms before you copy.</p>
