@@ -264,10 +264,15 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
         .groupBy("doc_id")
         .agg(F.max("toxic").cast("int").alias("toxic"))
     )
+    totals = dict(known.groupBy("toxic").count().collect())
     chosen = None
     for value in (0, 1):
-        part = known.where(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id")
-        part = part.limit(size)
+        # about twice as many by their hashes, so that few are left to be put in order
+        share = min(1.0, 2 * size / max(1, totals.get(value, 0)))
+        hashed = F.xxhash64("doc_id")
+        drawn = F.shiftrightunsigned(hashed, 11) / F.lit(2.0**53) <= F.lit(share)
+        part = known.where((F.col("toxic") == value) & drawn)
+        part = part.orderBy(F.shiftrightunsigned(hashed, 11), "doc_id").limit(size)
         chosen = part if chosen is None else chosen.unionAll(part)
     # at most 2 * size rows of an id and a label: broadcast whatever the input
     return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
