@@ -14,9 +14,10 @@ elements that say what they are (``nav``, ``footer``, class ``ad``, and so on) a
 never content. Within an article or main element nothing else is left out, as a
 paragraph that many pages share is still theirs; elsewhere constant leaves are.
 
-Scale. Pages meet their host's reference in a join, not in a group: a host with a
-third of all pages is split like any skewed join, and no task holds a host. Votes are
-summed in each batch before they are shuffled. Trees live one page at a time.
+Scale. Pages meet their host's reference in a join, not in a group: no task holds a
+host. References of all hosts are broadcast up to a checked size; beyond it the join
+shuffles, with large hosts dealt out over salts. Votes are summed in each batch before
+they are shuffled. Trees live one page at a time.
 
 Defined results: null or empty html gives empty text; a null or odd url is the host
 ``""``; hosts of one page have no constant leaves; repeated rows give repeated rows.
@@ -32,11 +33,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termpeak.llm.common import checkpointed
 from termpeak.llm.html_tree import BLOCKS, Node, parse
 
 FEWEST = 3  # pages before a leaf can be called constant
 CONSTANT = 0.9  # share of pages with the same text
 MOST = 0.7  # share of the varying text that a slot needs to be the region
+BROADCAST_BYTES = 32 << 20  # of all hosts' references and votes
+SALTS = 64
 DEEPEST = 60  # levels of slots; what is deeper counts as text of the last
 LARGEST = 40_000  # pairs of children matched exactly; beyond, in order of their labels
 
@@ -342,7 +346,7 @@ def host_of(url: Column) -> Column:
 
 
 class _Recent(dict):
-    """The wrappers of the hosts met last; pages come sorted by host, or nearly so."""
+    """The wrappers of the hosts met last; within a task pages come sorted by host."""
 
     def of(self, host: str, make) -> Wrapper:
         if host not in self:
@@ -382,14 +386,42 @@ def _extract(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"page_id": frame["page_id"], "url": frame["url"], "text": texts})
 
 
+def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
+    """``pages`` with the row of ``table``, which has one for every host, of their host.
+
+    A table of up to ``BROADCAST_BYTES`` is broadcast, so that pages stay where they
+    are. A larger one is joined by a shuffle, in which the pages of hosts with a
+    thousandth of all pages or more, of which there are a thousand at most, are dealt
+    out over ``SALTS`` parts.
+    """
+    if (table.agg(F.sum("bytes")).first()[0] or 0) <= BROADCAST_BYTES:
+        return pages.join(F.broadcast(table), "host")
+    counts = checkpointed(pages.groupBy("host").count())
+    total = counts.agg(F.sum("count")).first()[0]
+    large = F.broadcast(
+        counts.where(F.col("count") * 1000 >= total).select("host", F.lit(SALTS).alias("salts"))
+    )
+    salts = F.coalesce("salts", F.lit(1))
+    own = pages.join(large, "host", "left").withColumn(
+        "salt", F.pmod(F.xxhash64("url", "html"), salts).cast("int")
+    )
+    dealt = table.join(large, "host", "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    )
+    return own.drop("salts").join(dealt.drop("salts"), ["host", "salt"])
+
+
 def induce_wrappers(pages: DataFrame) -> DataFrame:
-    """``host``, ``reference`` (html of one page) and ``votes`` on its leaves."""
-    references = pages.groupBy("host").agg(
-        F.min_by("html", F.struct(F.xxhash64("url", "html"), "html")).alias("reference")
+    """``host``, ``reference`` (html of one page), ``votes`` on its leaves, ``bytes``."""
+    references = checkpointed(
+        pages.groupBy("host")
+        .agg(F.min_by("html", F.struct(F.xxhash64("url", "html"), "html")).alias("reference"))
+        .withColumn("bytes", F.octet_length("reference") + F.octet_length("host") + 100)
     )
     votes = (
-        pages.join(references, "host")
+        _beside(pages, references)
         .select("host", "html", "reference")
+        .sortWithinPartitions("host")  # a host's pages in a row share one parsed reference
         .mapInPandas(_count_votes, "host string, leaf int, pages long, same long, chars long")
         .groupBy("host", "leaf")
         .agg(F.sum("pages").alias("pages"), F.sum("same").alias("same"), F.sum("chars").alias("chars"))
@@ -397,9 +429,13 @@ def induce_wrappers(pages: DataFrame) -> DataFrame:
         .agg(F.collect_list(F.struct("leaf", "pages", "same", "chars")).alias("votes"))
     )
     none = F.array().cast("array<struct<leaf:int,pages:bigint,same:bigint,chars:bigint>>")
-    return references.join(votes, "host", "left").select(
-        "host", "reference", F.coalesce("votes", none).alias("votes")
+    wrappers = references.join(votes, "host", "left").select(
+        "host",
+        "reference",
+        F.coalesce("votes", none).alias("votes"),
+        (F.col("bytes") + 40 * F.coalesce(F.size("votes"), F.lit(0))).alias("bytes"),
     )
+    return checkpointed(wrappers)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -410,10 +446,12 @@ def extract_text(pages: DataFrame) -> DataFrame:
         F.coalesce("html", F.lit("")).alias("html"),
         host_of(F.col("url")).alias("host"),
     )
-    wrappers = induce_wrappers(own)
     kind = dict(pages.dtypes)
-    return own.join(wrappers, "host").mapInPandas(
-        _extract, f"page_id {kind['page_id']}, url string, text string"
+    return (
+        _beside(own, induce_wrappers(own))
+        .select("page_id", "url", "html", "host", "reference", "votes")
+        .sortWithinPartitions("host")
+        .mapInPandas(_extract, f"page_id {kind['page_id']}, url string, text string")
     )
 
 

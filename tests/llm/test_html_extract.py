@@ -57,10 +57,14 @@ def page_of(k, body):
 </div><div class="extra"><p>Call us any time.</p></div></div><div class="end"><p>All pages end so</p></div></body></html>"""
 
 
-def test_constant_leaves_are_template_where_no_article_is_marked(spark):
+@pytest.mark.parametrize("most", [0, 1 << 25])
+def test_constant_leaves_are_template_where_no_article_is_marked(spark, monkeypatch, most):
+    monkeypatch.setattr("termpeak.llm.html_extract.BROADCAST_BYTES", most)
     rows = [(k, f"https://plain.example/{k}", page_of(k, f"Body {k * 17} differs on every page that there is.")) for k in range(9)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
-    for r in extract_text(pages).collect():
+    rows = extract_text(pages).collect()
+    assert sorted(r["page_id"] for r in rows) == list(range(9))
+    for r in rows:
         lines = r["text"].split("\n")
         assert lines[0].startswith(f"Story {r['page_id']} begins") and f"Body {r['page_id'] * 17} " in lines[1]
         assert "The Daily Page" not in r["text"] and "Call us" not in r["text"] and "All pages" not in r["text"]
