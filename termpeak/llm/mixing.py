@@ -4,8 +4,9 @@ Method. Documents fall into cells, one for each combination of source, language
 topic. The tokens of the cells are raked: scaled to the target share of each source,
 then of each language, then of each topic, again and again until all three hold. A
 document is then kept with the probability of its cell, which is the raked weight
-over the tokens the cell has, scaled so that the largest is one. So the expected
-tokens of the sample have the target shares, in as large a sample as that allows.
+over the tokens the cell has. The weights add up to ``SHARE`` of all tokens, and none
+is more than its cell's tokens: a cell that would need more is kept whole. So the
+expected tokens of the sample have the target shares, as far as there are tokens.
 
 The draw is a hash of the id and the text, not a random number: any rerun, and any
 recomputation after a lost executor, keeps the same documents.
@@ -36,6 +37,7 @@ from termpeak.llm.common import checkpointed
 OTHER = "*"
 MAX_CELLS = 100_000
 ROUNDS = 500
+SHARE = 0.7  # of all tokens, in the sample
 TOLERANCE = 1e-10
 SEED = 20_240
 
@@ -80,26 +82,31 @@ def token_count(text: Column) -> Column:
     ).cast("bigint")
 
 
-def rake(tokens: np.ndarray, rounds: int = ROUNDS, *, targets: list[np.ndarray]) -> np.ndarray:
-    """Weights of the cells of an n-dimensional table whose margins are the targets."""
-    weights = tokens.astype(float)
+def rake(
+    tokens: np.ndarray, targets: list[np.ndarray], share: float = SHARE, rounds: int = ROUNDS
+) -> np.ndarray:
+    """Weights of the cells of a table, at most their tokens, with margins as the targets.
+
+    All weights together are ``share`` of the tokens. A cell that would need more than
+    it has gets all it has, and the others of its margin make up for it if they can.
+    """
+    weights = share * tokens.astype(float)
+    total = weights.sum()
     axes = range(weights.ndim)
     goals = []
     for axis in axes:
         there = tokens.sum(axis=tuple(a for a in axes if a != axis)) > 0
         goal = np.where(there, targets[axis], 0.0)
-        goals.append(goal / goal.sum() if goal.sum() else goal)
+        goals.append(total * goal / goal.sum() if goal.sum() else goal)
     for _ in range(rounds):
-        worst = 0.0
+        before = weights
         for axis, goal in zip(axes, goals, strict=True):
             margin = weights.sum(axis=tuple(a for a in axes if a != axis))
-            total = margin.sum()
-            worst = max(worst, np.abs(margin / total - goal).max() if total else 0.0)
             factor = np.divide(goal, margin, out=np.zeros_like(goal), where=margin > 0)
             shape = [1] * weights.ndim
             shape[axis] = -1
-            weights = weights * factor.reshape(shape)
-        if worst < TOLERANCE:
+            weights = np.minimum(weights * factor.reshape(shape), tokens)
+        if np.abs(weights - before).max(initial=0.0) <= TOLERANCE * total:
             break
     return weights
 
@@ -108,7 +115,9 @@ def _category(column: Column, names: list[str]) -> Column:
     return F.when(column.isin(names), column).otherwise(F.lit(OTHER))
 
 
-def cell_probabilities(cells: list[tuple], targets: Targets) -> list[tuple]:
+def cell_probabilities(
+    cells: list[tuple], targets: Targets, share: float = SHARE
+) -> list[tuple]:
     """Cells with their tokens, in any order, as cells with their probability."""
     names = [[*dict.fromkeys([*goal, OTHER])] for goal in targets.values()]
     places = [{name: k for k, name in enumerate(own)} for own in names]
@@ -119,9 +128,8 @@ def cell_probabilities(cells: list[tuple], targets: Targets) -> list[tuple]:
         np.array([goal.get(name, 0.0) for name in own])
         for goal, own in zip(targets.values(), names, strict=True)
     ]
-    weights = rake(tokens, targets=goals)
+    weights = rake(tokens, goals, share)
     ratio = np.divide(weights, tokens, out=np.zeros_like(weights), where=tokens > 0)
-    ratio = ratio / ratio.max() if ratio.max() > 0 else ratio
     out = []
     for *cell, _ in cells:
         at = tuple(p[c] for p, c in zip(places, cell, strict=True))
@@ -153,13 +161,15 @@ def _draw(seed: int) -> Column:
     return F.shiftrightunsigned(hashed, 11) / F.lit(2.0**53)
 
 
-def _with_probability(marked: DataFrame, targets: Targets, cell: str, chance: str) -> DataFrame:
+def _with_probability(
+    marked: DataFrame, targets: Targets, share: float, cell: str, chance: str
+) -> DataFrame:
     """``marked`` with the probability of its cell, from the tokens of all its rows."""
     names = list(targets)
     sums = marked.groupBy(*(F.col(f"{cell}.{n}").alias(n) for n in names)).agg(
         F.sum(f"{cell}_tokens").alias("n")
     )
-    chances = cell_probabilities([tuple(r) for r in sums.collect()], targets)
+    chances = cell_probabilities([tuple(r) for r in sums.collect()], targets, share)
     fields = ", ".join(f"{n}: string" for n in names)
     table = marked.sparkSession.createDataFrame(
         [(c[:-1], c[-1]) for c in chances], f"__mix_cell struct<{fields}>, {chance} double"
@@ -169,7 +179,9 @@ def _with_probability(marked: DataFrame, targets: Targets, cell: str, chance: st
     return joined.drop("__mix_cell")
 
 
-def sample_mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
+def sample_mix(
+    docs: DataFrame, targets: Targets = TARGETS, share: float = SHARE, seed: int = SEED
+) -> DataFrame:
     """The sampled documents, with ``probability``.
 
     ``targets`` has, for each dimension, the wanted share of each category. The
@@ -178,12 +190,14 @@ def sample_mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) ->
     marked = docs.withColumn("__mix", _cells(docs, targets)).withColumn(
         "__mix_tokens", token_count(F.col("text"))
     )
-    mixed = _with_probability(marked, targets, "__mix", "__mix_p")
+    mixed = _with_probability(marked, targets, share, "__mix", "__mix_p")
     kept = mixed.where(_draw(seed) < F.col("__mix_p"))
     return kept.withColumn("probability", F.col("__mix_p")).drop("__mix", "__mix_tokens", "__mix_p")
 
 
-def mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFrame:
+def mix(
+    docs: DataFrame, targets: Targets = TARGETS, share: float = SHARE, seed: int = SEED
+) -> DataFrame:
     """Of every document: its categories, ``n_tokens``, ``probability``, ``sampled``.
 
     The texts are read once; what is needed of each is kept in the checkpoint folder.
@@ -196,7 +210,7 @@ def mix(docs: DataFrame, targets: Targets = TARGETS, seed: int = SEED) -> DataFr
             _draw(seed).alias("draw"),
         )
     )
-    mixed = _with_probability(marked, targets, "cell", "probability")
+    mixed = _with_probability(marked, targets, share, "cell", "probability")
     return mixed.select(
         "doc_id",
         *(F.col(f"cell.{name}").alias(name) for name in targets),

@@ -11,22 +11,30 @@ def test_raking_meets_the_margins_and_keeps_the_interactions():
     draw = np.random.default_rng(1)
     tokens = draw.integers(1, 1000, (4, 3, 2))
     goals = [np.array(g) for g in ([0.1, 0.2, 0.3, 0.4], [0.5, 0.25, 0.25], [0.9, 0.1])]
-    weights = rake(tokens, targets=goals)
+    weights = rake(tokens, goals, share=0.01)
     for axis, goal in enumerate(goals):
         others = tuple(a for a in range(3) if a != axis)
-        assert np.allclose(weights.sum(axis=others), goal)
+        assert np.allclose(weights.sum(axis=others), 0.01 * tokens.sum() * goal)
     # odds ratios of the table do not change
     odds = lambda t: t[0, 0, 0] * t[1, 1, 0] / (t[0, 1, 0] * t[1, 0, 0])
     assert np.isclose(odds(weights), odds(tokens))
 
 
-def brute(rows, targets):
-    """Probabilities of (source, lang) cells by plain loops over dictionaries."""
+def test_cells_are_never_asked_for_more_than_they_have():
+    tokens = np.array([[100, 10], [50, 5]])
+    weights = rake(tokens, [np.array([0.5, 0.5]), np.array([0.1, 0.9])], share=0.8)
+    assert (weights <= tokens).all() and np.allclose(weights[:, 1], [10, 5])
+
+
+def brute(rows, targets, share=0.7):
+    """Probabilities of cells by plain loops over dictionaries."""
     cells = {}
     for key, n in rows:
         cells[key] = cells.get(key, 0) + n
-    weights = {k: float(n) for k, n in cells.items()}
-    for _ in range(3000):
+    whole = share * sum(cells.values())
+    weights = {k: share * n for k, n in cells.items()}
+    for _ in range(500):
+        before = dict(weights)
         for axis, goal in enumerate(targets.values()):
             there = {k[axis] for k, n in cells.items() if n}
             total = sum(goal.get(c, 0) for c in there)
@@ -34,9 +42,10 @@ def brute(rows, targets):
                 sum_c = sum(w for k, w in weights.items() if k[axis] == c)
                 for k in weights:
                     if k[axis] == c and sum_c:
-                        weights[k] *= goal.get(c, 0) / total / sum_c
-    ratio = {k: weights[k] / cells[k] for k in cells if cells[k]}
-    return {k: r / max(ratio.values()) for k, r in ratio.items()}
+                        weights[k] = min(cells[k], weights[k] * whole * goal.get(c, 0) / total / sum_c)
+        if max(abs(weights[k] - before[k]) for k in weights) <= 1e-10 * whole:
+            break
+    return {k: weights[k] / cells[k] for k in cells if cells[k]}
 
 
 def test_probabilities_equal_plain_loops():
@@ -44,7 +53,7 @@ def test_probabilities_equal_plain_loops():
     rows = [(("a", "x"), 100), (("a", "y"), 7), (("b", "x"), 30), (("b", "y"), 60), ((OTHER, "x"), 90), ((OTHER, "y"), 11)]
     got = {tuple(c): p for *c, p in cell_probabilities([(*k, n) for k, n in rows], targets)}
     assert got == pytest.approx(brute(rows, targets), rel=1e-6)
-    assert max(got.values()) == 1
+    assert 0 < max(got.values()) <= 1
 
 
 def test_query_over_the_whole_small_table(spark, sf_dir):
@@ -68,12 +77,12 @@ def test_sample_has_the_target_shares(spark):
         F.concat(F.lit("some words of text "), "id").alias("text"),
     )
     targets = {"source": {"big": 0.1} | {f"s{k}": 0.18 for k in range(5)}, "lang": {"en": 0.5, "de": 0.5}}
-    kept = sample_mix(docs, targets)
+    kept = sample_mix(docs, targets, share=0.3)
     n = kept.count()
     shares = {r[0]: r[1] / n for r in kept.groupBy("source").count().collect()}
     assert shares["big"] == pytest.approx(0.1, abs=0.02) and shares["s3"] == pytest.approx(0.18, abs=0.02)
     assert kept.where("lang = 'de'").count() / n == pytest.approx(0.5, abs=0.02)
-    assert sorted(r[0] for r in sample_mix(docs.repartition(7), targets).select("doc_id").collect()) == sorted(
+    assert sorted(r[0] for r in sample_mix(docs.repartition(7), targets, share=0.3).select("doc_id").collect()) == sorted(
         r[0] for r in kept.select("doc_id").collect()
     )
 
@@ -86,7 +95,7 @@ def test_odd_rows(spark):
     assert out.count() == len(rows)
     got = out.select("doc_id", "source", "lang", "n_tokens").collect()
     assert [tuple(r) for r in got if r[0] == 1] == [(1, OTHER, OTHER, 1)] * 2
-    assert mix(docs, {"source": {"src0": 1.0}}).where("sampled").select("doc_id").collect() == [(4,), (5,)]
+    assert mix(docs, {"source": {"src0": 1.0}}, share=1.0).where("sampled").select("doc_id").collect() == [(4,), (5,)]
     assert sample_mix(docs, {"source": {"src0": 1.0}}).columns == [*docs.columns, "probability"]
     assert mixing_query(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
