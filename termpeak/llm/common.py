@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,6 +57,16 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def release_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    It does so when the driver's JVM collects garbage, which a small driver may put
+    off for the whole of a long job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def digest_hex(value: Column) -> Column:
     """A long as 16 lowercase hex digits of its unsigned value."""
     return F.lower(F.lpad(F.hex(value), 16, "0"))
