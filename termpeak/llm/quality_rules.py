@@ -37,6 +37,7 @@ SPREADS = 4.5
 FEWEST = 30
 FEWEST_WORDS = 50
 REPEATED_PERCENT = 50
+SALTS = 64
 
 # Least deviation that counts, so that very even classes do not reject at a hair.
 _FLOORS = {"chars_per_token": 0.02, "byte_share": 0.01, "entropy": 0.05}
@@ -153,7 +154,12 @@ def judge(
             outside |= value > q[1] + spreads * spread
         if figure != "byte_share":
             outside |= value < q[1] - spreads * spread
-    joined = marked.join(bands, ["language", "size_class"], "left")
+    # a band can be that of a third of all texts: deal both sides out over salts
+    salted = bands.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", "m"), F.lit(SALTS)).cast("int")
+    joined = marked.withColumn("salt", salt).join(
+        salted, ["language", "size_class", "salt"], "left"
+    )
     kept = ~F.col("base_failed") & ~F.coalesce(outside, F.lit(False))
     return joined.select("doc_id", "lang", "m", "base_failed", kept.alias("kept"))
 
