@@ -32,6 +32,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termpeak.functions.binding import let
 from termpeak.llm.common import checkpointed
 
 OTHER = "*"
@@ -51,26 +52,32 @@ TARGETS: Targets = {
 }
 
 
-# Signs of a topic; plain substrings, which cost far less than patterns on long texts.
-_LAW = ("icense", "icence", "ights reserved", "opyright")
-_SIGNS = (" | ", "##", "**", "$$", "%%", "&&", "!! ")
+# In lower case, what every match of the words of the law contains: a search for plain
+# substrings costs far less than the pattern, which only the texts with one of them need.
+_LAW_PARTS = ("licen", "rights reserved", "copyright")
+_LAW = r"(?i)\b(?:licen[cs]ed?|rights reserved|copyright)\b"
+_SIGNS = "#*$%&|<>=!"
 
 
 def topic(text: Column) -> Column:
     """A topic by rule, the first that applies: words of the law, an address or a
-    number to call, rows of signs, else prose."""
+    number to call, one sign among ten characters or more, else prose."""
     text = F.coalesce(text, F.lit(""))
 
-    def has(parts: tuple[str, ...]) -> Column:
-        return reduce(Column.__or__, [F.contains(text, F.lit(p)) for p in parts])
+    def has(lowered: Column) -> Column:
+        return reduce(Column.__or__, [F.contains(lowered, F.lit(p)) for p in _LAW_PARTS])
 
+    law = let(F.lower(text), has) & text.rlike(_LAW)
     touch = (F.contains(text, F.lit("@")) & text.rlike(r"[\w.+-]@[\w-]+\.\w")) | (
         F.contains(text, F.lit("(")) & text.rlike(r"\(\d{3}\) \d{3}-\d{4}")
     )
+    # signs are one byte each; taking them out one by one is cheaper than a pattern
+    plain = reduce(lambda t, sign: F.replace(t, F.lit(sign), F.lit("")), _SIGNS, text)
+    signs = F.octet_length(text) - F.octet_length(plain)
     return (
-        F.when(has(_LAW), "legal")
+        F.when(law, "legal")
         .when(touch, "contact")
-        .when(has(_SIGNS), "symbols")
+        .when(let(signs, lambda n: (n > 0) & (10 * n >= F.length(text))), "symbols")
         .otherwise("prose")
     )
 

@@ -1,10 +1,12 @@
 """Raking against its definition, and the sample's shares."""
 
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from termpeak.llm.mixing import OTHER, TARGETS, cell_probabilities, mix, mixing_query, rake, sample_mix
+from termpeak.llm.mixing import OTHER, TARGETS, cell_probabilities, mix, mixing_query, rake, sample_mix, topic
 
 
 def test_raking_meets_the_margins_and_keeps_the_interactions():
@@ -69,6 +71,25 @@ def test_query_over_the_whole_small_table(spark, sf_dir):
     assert {r["sampled"] for r in rows} == {True, False}
 
 
+def brute_topic(text):
+    if re.search(r"\b(?:licen[cs]ed?|rights reserved|copyright)\b", text, re.I | re.A):
+        return "legal"
+    if re.search(r"[\w.+-]+@[\w-]+\.\w|\(\d{3}\) \d{3}-\d{4}", text, re.A):
+        return "contact"
+    signs = len(re.findall(r"[#*$%&|<>=!]", text))
+    return "symbols" if signs and 10 * signs >= len(text) else "prose"
+
+
+def test_topics_equal_their_patterns(spark, sf_dir):
+    odd = ["THE LICENSE", "All RIGHTS Reserved.", "silicensed", "Copyrighted", "a licence", "x" * 500 + " | y ## **",
+           "é" * 9 + "#", "é" * 10 + "#", "<a>=b!", "", "write to a@b.c", "a @ b.c", "call (555) 123-4567 now", "50 % off!! now"]
+    texts = odd + [r[0] for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("text").collect()]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = frame.select("text", topic(F.col("text"))).collect()
+    assert [(t, k) for t, k in got] == [(t, brute_topic(t)) for t in texts]
+    assert {k for _, k in got} == {"legal", "contact", "symbols", "prose"}
+
+
 def test_sample_has_the_target_shares(spark):
     docs = spark.range(20_000).select(
         F.col("id").alias("doc_id"),
