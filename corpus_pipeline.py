@@ -24,12 +24,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
+def _with_n_chars(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines similar to an earlier line go; ``n_chars`` follows the text."""
-    deduped = dedup_lines(docs)
-    if "n_chars" not in docs.columns:
-        return deduped
-    return deduped.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return _with_n_chars(dedup_lines(docs))
 
 
 def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +41,9 @@ def simhash(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents contaminated with benchmark items go."""
-    return decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents contaminated with benchmark items go; of the others, only the words of
+    hits; ``n_chars`` follows the text."""
+    return _with_n_chars(decontaminate(docs, table(spark, sf_dir, "benchmark"), cut=True))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,9 @@ is streamed through it word by word, keeping the length of the longest run that
 ends here and occurs in some item. Where that length reaches the window (13 words,
 or all words of an item that has fewer), the run is a hit: its words are marked
 and the items that have the window are noted. A document is contaminated if it has
-a hit and the marked words are at least the coverage limit's share of its words.
+a hit and the marked words are at least the coverage limit's share of its words. On
+demand, the marked words of the other documents are cut out of their texts. A text is
+cut once: should what stood before and after a cut make a window together, it stays.
 
 Scale. Documents are read once, never shuffled, and every task holds one
 automaton. Its size is checked: items are taken in blocks of at most
@@ -20,17 +22,19 @@ case. Columns other than those named are passed over untouched.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import alnum_words, checkpointed
+from termpeak.llm.common import WORD_BYTES, alnum_words, checkpointed, encoded
 
 WINDOW = 13
 COVERAGE = 20  # one marked word in so many words contaminates
 BLOCK_BYTES = 4 << 20
+_WORD = re.compile(rb"\S+")
 
 _HITS = (
     "struct<n_words:bigint,n_hit:bigint,"
@@ -246,10 +250,48 @@ def contaminated(hits: Column, coverage: int = COVERAGE) -> Column:
     return (hits["n_hit"] > 0) & (coverage * hits["n_hit"] >= hits["n_words"])
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``docs`` without contaminated documents; the others are left as they are."""
+def without_spans(text: str, spans: Iterable[tuple[int, int]]) -> str:
+    """``text`` with a line's end in the place of each span, from its first word to its last.
+
+    Spans may overlap and come in any order; what lies between two words is no word's.
+    """
+    raw = encoded(text)
+    words = [m.span() for m in _WORD.finditer(raw.translate(WORD_BYTES))]
+    parts, at, done = [], 0, -1
+    for first, last in sorted(spans):
+        if first > done:
+            parts += [raw[at : words[first][0]], b"\n"]
+        done = max(done, last)
+        at = words[done][1]
+    return b"".join([*parts, raw[at:]]).decode("utf-8", "surrogatepass")
+
+
+def _without_spans(text: Column, hits: Column) -> Column:
+    """The text with its marked spans cut out; only texts with a hit go to Python."""
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        rows = [
+            None if t is None else without_spans(t, [(p["first"], p["last"]) for p in own])
+            for t, own in zip(texts, spans, strict=True)
+        ]
+        return pd.Series(rows, dtype=object)
+
+    hit = hits["n_hit"] > 0
+    return F.when(hit, cut(F.when(hit, text), hits["spans"])).otherwise(text)
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, cut: bool = False) -> DataFrame:
+    """``docs`` without contaminated documents; the others are left as they are.
+
+    With ``cut``, the marked spans of the others are cut out of ``text``, so that no
+    benchmark text stays in documents that have too little of it to go.
+    """
     found = find_hits(docs.withColumnRenamed("hits", "__docs_hits"), benchmark)
-    kept = found.where(~contaminated(F.col("hits"))).drop("hits")
+    kept = found.where(~contaminated(F.col("hits")))
+    if cut:
+        kept = kept.withColumn("text", _without_spans(F.col("text"), F.col("hits")))
+    kept = kept.drop("hits")
     return kept.withColumnRenamed("__docs_hits", "hits").select(*docs.columns)
 
 

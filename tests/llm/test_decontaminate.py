@@ -12,6 +12,7 @@ from termpeak.llm.decontaminate import (
     decontaminate,
     decontamination_query,
     find_hits,
+    without_spans,
 )
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -98,6 +99,30 @@ def test_stage_drops_only_contaminated(spark):
     assert sorted(map(str, ((r[0], r[1]) for r in kept.collect()))) == sorted(map(str, clean))
 
 
+def test_spans_are_cut_out():
+    text = "Ä, b; c-d (e) f."
+    assert without_spans(text, [(1, 2)]) == "Ä, \n-d (e) f."
+    assert without_spans(text, [(4, 5), (0, 1), (1, 1)]) == "\n; c-d (\n."
+    assert without_spans(text, [(0, 5)]) == "\n." and without_spans(text, []) == text
+
+
+def test_hits_below_the_coverage_are_cut(spark, monkeypatch):
+    docs, bench, texts, items = odd_tables(spark)
+    filler = "lang und breit " * 400
+    texts = [*texts, (8, f"{filler}Kurz, Satz! {filler}{items[0][1]}. Ende"), (8, None)]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in texts], docs.schema)
+    for block in (4 << 20, 60):
+        monkeypatch.setattr("termpeak.llm.decontaminate.find_hits", lambda d, b: find_hits(d, b, block_bytes=block))
+        kept = decontaminate(docs, bench, cut=True)
+        got = [tuple(r) for r in kept.collect()]
+        assert kept.columns == docs.columns
+        assert all(brute(t, items)[1] == 0 for _, t, _ in got)
+        clean = [(i, t, 1) for i, t in texts if not brute(t, items)[1]]
+        changed = {6: "x " * 30000 + "\n", 8: f"{filler}\n! {filler}\n. Ende"}
+        expected = clean + [(i, t, 1) for i, t in changed.items()]
+        assert sorted(map(str, got)) == sorted(map(str, expected))
+
+
 def test_empty_tables(spark):
     docs, bench, texts, _ = odd_tables(spark)
     assert find_hits(docs.drop("hits").limit(0), bench).count() == 0

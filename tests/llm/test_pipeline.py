@@ -72,6 +72,15 @@ def test_decontamination(spark, stages, sf_dir):
     assert rows_of(after) == expected
 
 
+def test_decontamination_cuts_hits_below_its_coverage(spark, sf_dir):
+    item = spark.read.parquet(f"{sf_dir}/benchmark.parquet").where("length(text) > 20").first()["text"]
+    text = "filler " * 20000 + item
+    docs = spark.createDataFrame([(1, text, "en", "src0", len(text))], "doc_id long, text string, lang string, source string, n_chars long")
+    (row,) = corpus_pipeline.decontamination(spark, docs, sf_dir).collect()
+    assert row["text"].startswith("filler " * 20000) and item not in row["text"]
+    assert row["n_chars"] == len(row["text"]) < len(text)
+
+
 def test_mixing(stages):
     before, after = stages["mixing"]
     cells = mixing_query(before).collect()
