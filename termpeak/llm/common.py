@@ -7,6 +7,8 @@ import gc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termpeak.plans.layout import scratch_path
+
 # Bytes of UTF-8 text with A-Z lower-cased; every other byte stays.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
@@ -57,6 +59,13 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The rows written as Parquet to the shared folder, and read again from there."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of plans that nothing refers to any more.
 

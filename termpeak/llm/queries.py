@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from termpeak.llm.collocations import COLLOCATION_SQL, collocation_query
 from termpeak.llm.common import table
 from termpeak.llm.decontaminate import DECONTAMINATION_SQL, decontamination_query
 from termpeak.llm.simhash import simhash_query
@@ -32,6 +33,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": lambda spark, sf: token_counts_query(table(spark, sf, "documents")),
     "op1_license_scan": lambda spark, sf: license_query(table(spark, sf, "documents")),
     "op9_lm_score": lambda spark, sf: lm_query(table(spark, sf, "documents")),
+    "op12_collocations": lambda spark, sf: collocation_query(table(spark, sf, "documents")),
     "op3_html_extract": lambda spark, sf: extraction_query(table(spark, sf, "pages")),
 }
 
@@ -39,4 +41,5 @@ ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op2_decontaminate": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
+    "op12_collocations": COLLOCATION_SQL,
 }
