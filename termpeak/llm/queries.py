@@ -18,6 +18,7 @@ from termpeak.llm.token_counts import token_counts_query
 from termpeak.llm.license_scan import license_query, license_sql
 from termpeak.llm.lm_score import lm_query
 from termpeak.llm.html_extract import extraction_query
+from termpeak.llm.vector_dedup import VECTOR_DEDUP_SQL, vector_dedup_query
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontaminate": lambda spark, sf: decontamination_query(
@@ -34,6 +35,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": lambda spark, sf: license_query(table(spark, sf, "documents")),
     "op9_lm_score": lambda spark, sf: lm_query(table(spark, sf, "documents")),
     "op12_collocations": lambda spark, sf: collocation_query(table(spark, sf, "documents")),
+    "op13_vector_dedup": lambda spark, sf: vector_dedup_query(table(spark, sf, "embeddings")),
     "op3_html_extract": lambda spark, sf: extraction_query(table(spark, sf, "pages")),
 }
 
@@ -42,4 +44,5 @@ ORACLE_SQL: dict[str, str] = {
     "op2_decontaminate": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
     "op12_collocations": COLLOCATION_SQL,
+    "op13_vector_dedup": VECTOR_DEDUP_SQL,
 }

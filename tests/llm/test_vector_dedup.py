@@ -1,0 +1,147 @@
+"""The metric range join against comparing every pair of vectors."""
+
+import math
+import random
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from termpeak.llm.vector_dedup import (
+    VECTOR_DEDUP_SQL,
+    Pivots,
+    distance,
+    near_duplicate_vectors,
+    vector_dedup_query,
+)
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+COLUMNS = ["vec_id", "n_links", "component_id", "kept"]
+
+
+def brute(rows, threshold=0.95):
+    good = {}
+    for k, (_, v) in enumerate(rows):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            good[k] = np.array(v, np.float32).astype(float)
+    links = {k: set() for k in range(len(rows))}
+    for a in good:
+        for b in good:
+            if a < b and len(good[a]) == len(good[b]):
+                norms = np.linalg.norm(good[a]) * np.linalg.norm(good[b])
+                if good[a] @ good[b] / norms >= threshold:
+                    links[a].add(b)
+                    links[b].add(a)
+    out = []
+    for k, (name, _) in enumerate(rows):
+        seen, todo = {k}, [k]
+        while todo:
+            for other in links[todo.pop()] - seen:
+                seen.add(other)
+                todo.append(other)
+        least = min((rows[x][0] for x in seen if rows[x][0] is not None), default=None)
+        out.append((name, len(links[k]), least, name == least))
+    return sorted(out, key=str)
+
+
+def made_rows(seed, number=260, length=6):
+    """Clusters, chains, copies, scaled copies and loose vectors."""
+    draw = random.Random(seed)
+    rows = []
+    while len(rows) < number:
+        base = [draw.gauss(0, 1) for _ in range(length)]
+        kind = draw.randrange(4)
+        if kind == 0:
+            rows.append(base)
+        elif kind == 1:
+            rows += [[x + draw.gauss(0, 0.12) for x in base] for _ in range(draw.randint(2, 25))]
+        elif kind == 2:
+            rows += [base] * draw.randint(2, 6) + [[4 * x for x in base]]
+        else:  # a chain: its ends are far apart
+            step = [draw.gauss(0, 0.25) for _ in range(length)]
+            rows += [[x + k * s for x, s in zip(base, step, strict=True)] for k in range(8)]
+    names = draw.sample(range(5000), len(rows))
+    return [(n, [float(np.float32(x)) for x in v]) for n, v in zip(names, rows, strict=True)]
+
+
+def answer(frame):
+    return sorted((tuple(r) for r in frame.select(COLUMNS).collect()), key=str)
+
+
+def frame_of(spark, rows):
+    return spark.createDataFrame([(n, v, 1) for n, v in rows], SCHEMA)
+
+
+@pytest.mark.parametrize(("cell", "tile_bytes"), [(4096, 4 << 20), (12, 4 << 20), (25, 400)])
+def test_equals_comparing_every_pair(spark, cell, tile_bytes):
+    rows = made_rows(cell)
+    got = near_duplicate_vectors(frame_of(spark, rows).repartition(3), cell=cell, tile_bytes=tile_bytes)
+    assert answer(got) == brute(rows)
+
+
+def test_replicas_reach_every_neighbour():
+    """Whatever is within the radius of a member of a smaller cell comes there."""
+    draw = np.random.default_rng(2)
+    rows = draw.normal(size=(400, 4))
+    rows /= np.linalg.norm(rows, axis=1, keepdims=True)
+    radius = math.sqrt(0.1)
+    pivots = Pivots([r.tobytes() for r in rows[:9]], radius)
+    home, cosines = pivots.homes(32, rows)
+    reach = np.full(9, -9.0)
+    np.maximum.at(reach, home, distance(cosines)[np.arange(400), home])
+    guest, cell = pivots.neighbours(32, home, rows, reach)
+    here = set(zip(guest.tolist(), cell.tolist(), strict=True))
+    near = np.argwhere(rows @ rows.T >= 0.95)
+    assert all((b, home[a]) in here for a, b in near.tolist() if home[a] < home[b])
+    assert len(here) < 400 * 8 / 2
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (1, None), (2, []), (3, [0.0, 0.0]), (4, [-0.0, 0.0]), (5, [nan, 1.0]), (6, [inf, 1.0]),
+        (7, [None, 1.0]), (8, [1.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [2.0, 0.0]), (10, [2.0, -0.0]),
+        (None, [1.0, 0.001]), (None, [0.0, 1.0]), (13, [3e38, 0.0]), (14, [1e-40, 0.0]), (3, None),
+    ]
+    got = answer(near_duplicate_vectors(frame_of(spark, rows)))
+    assert got == sorted(
+        [(n, 0, n, True) for n in (1, 2, 3, 4, 5, 6, 7, 9, None, 3)]
+        + [(8, 5, 8, True)]
+        + [(n, 5, 8, False) for n in (10, 10, None, 13, 14)],
+        key=str,
+    )
+
+
+def test_the_threshold_itself(spark):
+    rows = [(1, [1.0, 0.0]), (2, [0.96, 0.28]), (3, [0.0, 2.0])]
+    doubles = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = answer(near_duplicate_vectors(doubles, threshold=0.96))
+    assert got == [(1, 1, 1, True), (2, 1, 1, False), (3, 0, 3, True)]
+
+
+def test_many_copies_and_clashing_names(spark):
+    rows = [(k, [1.0, 2.0], k) for k in range(12_000)] + [(20_000, [1.0, 2.01], 0)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n long").select(
+        "*", F.lit(1).alias("unit"), F.lit(2).alias("node"), F.lit(3).alias("a.b")
+    )
+    got = near_duplicate_vectors(frame)
+    assert got.columns == COLUMNS
+    counts = got.groupBy("n_links", "component_id", "kept").count().collect()
+    assert sorted(tuple(r) for r in counts) == [(12_000, 0, False, 12_000), (12_000, 0, True, 1)]
+
+
+def test_empty_table(spark):
+    assert near_duplicate_vectors(spark.createDataFrame([], SCHEMA)).count() == 0
+    nulls = spark.createDataFrame([(1, None, None)], SCHEMA)
+    assert answer(near_duplicate_vectors(nulls)) == [(1, 0, 1, True)]
+
+
+def test_equals_its_sql(spark, sf_dir):
+    path = Path(sf_dir) / "embeddings.parquet"
+    context = duckdb.connect()
+    context.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{path}'")
+    expected = context.sql(f"SELECT {', '.join(COLUMNS)} FROM ({VECTOR_DEDUP_SQL})").fetchall()
+    got = answer(vector_dedup_query(spark.read.parquet(str(path))))
+    assert got == sorted(expected, key=str)
