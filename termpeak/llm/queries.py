@@ -17,6 +17,7 @@ from termpeak.llm.quality_rules import quality_query
 from termpeak.llm.token_counts import token_counts_query
 from termpeak.llm.license_scan import license_query, license_sql
 from termpeak.llm.lm_score import lm_query
+from termpeak.llm.hard_negatives import HARD_NEGATIVE_SQL, hard_negative_query
 from termpeak.llm.html_extract import extraction_query
 from termpeak.llm.vector_dedup import VECTOR_DEDUP_SQL, vector_dedup_query
 
@@ -35,6 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": lambda spark, sf: license_query(table(spark, sf, "documents")),
     "op9_lm_score": lambda spark, sf: lm_query(table(spark, sf, "documents")),
     "op12_collocations": lambda spark, sf: collocation_query(table(spark, sf, "documents")),
+    "op11_hard_negatives": lambda spark, sf: hard_negative_query(
+        table(spark, sf, "embeddings")
+    ),
     "op13_vector_dedup": lambda spark, sf: vector_dedup_query(table(spark, sf, "embeddings")),
     "op3_html_extract": lambda spark, sf: extraction_query(table(spark, sf, "pages")),
 }
@@ -43,6 +47,7 @@ ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op2_decontaminate": DECONTAMINATION_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
+    "op11_hard_negatives": HARD_NEGATIVE_SQL,
     "op12_collocations": COLLOCATION_SQL,
     "op13_vector_dedup": VECTOR_DEDUP_SQL,
 }
