@@ -1,9 +1,13 @@
+from collections import Counter
+
 import pytest
 from brute import frequencies_of, words_of
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from termpeak import normalize_documents, term_frequency, tokenize
+from termpeak.functions.text import term_counts, text_pieces
 
 CASES = [
     ("a\tb\nc d", ["abc", "d"]),
@@ -93,3 +97,29 @@ def test_any_text_matches_brute_force(docs_of, rows):
     assert got == frequencies_of(rows)
     tokens = sorted(r.word for r in tokenize(docs).collect())
     assert tokens == sorted(w for _, content in rows for w in words_of(content))
+
+
+@pytest.mark.parametrize("piece, batch", [(1, 1), (3, 2), (7, 32), (64, 3)])
+def test_pieces_count_as_the_whole_text(spark, piece, batch):
+    texts = [
+        "", " ", "a", "  a  b a ", "no-space-at-all-in-this-one", "é ü ß É a é", "x\ny z\tx y",
+        "日本 語 a 日本 b", "A b C a B c " * 20, " " * 50, None, "ends in space ", "a\u00a0b a b",
+    ]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, content string")
+    got = docs.select("k", F.inline(term_counts(F.col("content"), piece, batch))).where("word <> ''")
+    expected = sorted(
+        (k, w, n) for k, t in enumerate(texts) if t for w, n in Counter(words_of(t)).items()
+    )
+    assert sorted(tuple(r) for r in got.collect()) == expected
+    pieces = docs.select("content", text_pieces(F.col("content"), piece).alias("p")).collect()
+    for content, parts in pieces:
+        assert parts is None if content is None else "".join(parts) == content
+        assert all(p.endswith(" ") for p in (parts or [""])[:-1])
+
+
+def test_a_text_of_many_pieces(spark):
+    text = " ".join(f"w{'abcdefghij'[k % 10]}{'klmnopq'[k % 7]}" for k in range(700_000))
+    docs = spark.createDataFrame([("f", text)], "filename string, content string")
+    assert docs.select(F.size(text_pieces(F.col("content")))).first()[0] > 2
+    got = sorted(tuple(r) for r in term_frequency(docs).collect())
+    assert got == frequencies_of([("f", text)])
