@@ -37,6 +37,19 @@ def peak_document(frequencies: DataFrame) -> DataFrame:
     )
 
 
+def merge_peaks(first: DataFrame, *others: DataFrame) -> DataFrame:
+    """The peaks of all documents from the peaks of parts of them.
+
+    A maximum of maxima: each part brings at most one row for a word, with its count, and
+    the rule for ties is the same, so parts merged in any order and any grouping give
+    what all documents give at once. No documents are read again.
+    """
+    parts = first.select("word", "filename", "n")
+    for other in others:
+        parts = parts.unionAll(other.select("word", "filename", "n"))
+    return peak_document(parts)
+
+
 def format_peak(peaks: DataFrame) -> DataFrame:
     """``word`` and ``peak``, the text ``<filename, n>``."""
     text = F.concat(

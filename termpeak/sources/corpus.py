@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termpeak.functions.records import line_text
+from termpeak.sources.trees import tree_contents, tree_files
+
+HIDDEN = ("fail", "skip", "read")
 
 
 def load_corpus(spark: SparkSession, path: str, hidden: str = "fail") -> DataFrame:
@@ -17,30 +20,59 @@ def load_corpus(spark: SparkSession, path: str, hidden: str = "fail") -> DataFra
 
     Spark's readers pass over files and directories whose names begin with ``_`` or
     ``.``. If there are any, this raises a ``ValueError`` that names some of them;
-    ``hidden="skip"`` leaves them out instead.
+    ``hidden="skip"`` leaves them out instead, and ``hidden="read"`` reads them too:
+    the tree is listed by tasks, and what Spark passes over is read by tasks with
+    Arrow's file systems (local, HDFS, S3, GCS). That is the only mode that runs Python
+    on the executors, for those files alone.
 
     Every file is a seek and an open. Read such a tree once, write it with
     :func:`~termpeak.sources.ndjson.write_ndjson` or as Parquet, and query that;
     for that one read, a smaller ``spark.sql.files.openCostInBytes`` packs more
     small files into a task.
     """
-    if hidden not in ("fail", "skip"):
-        raise ValueError(f"hidden={hidden!r}; one of 'fail' and 'skip'")
+    if hidden not in HIDDEN:
+        raise ValueError(f"hidden={hidden!r}; one of {', '.join(map(repr, HIDDEN))}")
     root, passed_over = _look_at(spark, path)
     if passed_over and hidden == "fail":
         raise ValueError(f"not readable by Spark, as hidden: {', '.join(passed_over)}")
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
+    shown = files.select(
+        _below(root).alias("filename"),
+        line_text(F.col("value")).alias("content"),
+        F.element_at(F.split(_full_path(), "/"), -2).alias("label"),
+    )
+    if not passed_over or hidden == "skip":
+        return shown
+    # what Spark lists, without the contents, against what there is
+    lister = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    listed = lister.load(path).select(_below(root).alias("filename"))
+    others = tree_files(spark, path).where("size > 0").join(listed, "filename", "left_anti")
+    return shown.unionAll(
+        tree_contents(spark, path, others).select(
+            "filename",
+            line_text(F.col("value").cast("string")).alias("content"),
+            _directory(F.col("filename"), root).alias("label"),
+        )
+    )
+
+
+def _full_path() -> Column:
     # file_path is percent-encoded; url_decode would also turn + into a space
     encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
-    full = F.url_decode(encoded)
+    return F.url_decode(encoded)
+
+
+def _below(root: str) -> Column:
+    """The path of the row's file below the root."""
     # the path without scheme and host, which have one to three slashes
-    plain = F.regexp_replace(full, "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
-    below = F.substring(plain, F.lit(len(root) + 2), F.length(plain))
-    return files.select(
-        below.alias("filename"),
-        line_text(F.col("value")).alias("content"),
-        F.element_at(F.split(full, "/"), -2).alias("label"),
-    )
+    plain = F.regexp_replace(_full_path(), "^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?(?=/)", "")
+    return F.substring(plain, F.lit(len(root) + 2), F.length(plain))
+
+
+def _directory(filename: Column, root: str) -> Column:
+    """The name of a file's directory; the tree's own for a file at its top."""
+    name = F.get(F.slice(F.split(filename, "/"), -2, 1), F.lit(0))
+    return F.when(F.contains(filename, F.lit("/")), name).otherwise(F.lit(root.split("/")[-1]))
 
 
 def _look_at(spark: SparkSession, path: str, most: int = 5) -> tuple[str, list[str]]:
