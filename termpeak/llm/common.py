@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import gc
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,14 +67,24 @@ def written(frame: DataFrame, name: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Within this, Spark deletes the shuffle files of a query when the query has ended.
 
-    It does so when the driver's JVM collects garbage, which a small driver may put
-    off for the whole of a long job.
+    For jobs of several steps that write what the next one reads; otherwise those files
+    stay until the driver happens to collect garbage. No frame may be run twice within,
+    as its shuffles are gone then; what is written and read again is a new frame.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
 
 
 def digest_hex(value: Column) -> Column:
