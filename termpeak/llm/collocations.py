@@ -18,8 +18,8 @@ common it is. No bucket holds a language or a hot prefix whole. What is frequent
 to the tasks of the next level as one bitmap of hashes, of 64 MiB at most: a phrase that
 it lets through by chance is counted and dropped, so its size bears on cost alone. Joins
 after that are between frequent phrases only; one word meets at most one row for each
-other word of the vocabulary. The cut per language is a rank that Spark applies before
-and after the shuffle.
+other word of the vocabulary. The first of a language are ranked in parts, then the first
+of those; the last rank sees ``PARTS`` times ``top`` rows of a language at most.
 
 Defined results: null and empty texts have no words; a null language is ``und`` and one
 with the same name; repeated rows count as often as they stand there; ties go by the
@@ -49,6 +49,7 @@ SUBSUMED = 50  # per cent of a phrase's count that a longer one must have
 TOP = 2000
 SCALE = 1_000_000
 PIECES = 8
+PARTS = 32  # of a language, that are ranked by themselves first
 CHUNK_BYTES = 12 << 20  # text of one language that is counted at a time
 HELD_BYTES = 4 * CHUNK_BYTES  # of all languages that a task holds back
 BUCKET_BYTES = 8 << 20  # text whose stripes share a bucket
@@ -424,8 +425,16 @@ def collocations(
         .agg(weakest.alias("cut"))
         .select("lang", "phrase", "a", "cut.l", "cut.r", "cut.score")
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # first within parts of a language, so that no task ranks a whole one
+    order = (F.desc("score"), F.desc("a"), "phrase")
+    part = Window.partitionBy("lang", "part").orderBy(*order)
+    first = (
+        scored.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+        .withColumn("rank", F.row_number().over(part))
+        .where(F.col("rank") <= top)
+    )
+    whole = Window.partitionBy("lang").orderBy(*order)
+    ranked = first.withColumn("rank", F.row_number().over(whole)).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("long"), "phrase", "a", "l", "r", "n", "score"
     )

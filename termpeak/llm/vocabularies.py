@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 from dataclasses import dataclass
 from functools import lru_cache
 from pathlib import Path
@@ -18,6 +19,12 @@ BYTE_PATTERN = (
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 )
 
+# Fixed value: what the pattern's ``\s`` takes. Its look-ahead goes back over a run of
+# white space one character at a time, and a run of about a million ends the process.
+# So longer runs than this are taken out before the pattern sees them.
+SPACES = "\t\n\x0b\x0c\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+LONGEST_RUN = 10_000
+
 
 @dataclass(frozen=True)
 class VocabularyFile:
@@ -69,7 +76,21 @@ class BytePairs(Vocabulary):
             self.bare_byte[rank] = len(token) == 1 and token[0] >= 128
 
     def ids(self, text: str) -> np.ndarray:
-        return np.array(self._encoding.encode_ordinary(text), np.int64)
+        return np.array(self._tokens(text, LONGEST_RUN), np.int64)
+
+    def _tokens(self, text: str, longest: int) -> list[int]:
+        """As the pattern cuts the text, runs of ``longest`` spaces and more by hand.
+
+        The pattern takes a run in one, but for its last character if more follows:
+        that one may be the space before a word.
+        """
+        encode, out, at = self._encoding.encode_ordinary, [], 0
+        for run in re.finditer(f"[{SPACES}]{{{longest},}}", text):
+            stop = run.end() - (run.end() < len(text))
+            out += encode(text[at : run.start()])
+            out += self._encoding._encode_single_piece(text[run.start() : stop])
+            at = stop
+        return out + encode(text[at:])
 
 
 class Pieces(Vocabulary):

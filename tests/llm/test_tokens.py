@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from termpeak.llm.quality_rules import base_counts, judge, quality_query
+from termpeak.llm.quality_rules import base_counts, judge, quality_query, script_of
 from termpeak.llm.token_counts import count_sections, section_tokens, token_counts_query
 from termpeak.llm.vocabularies import FOLDER, VocabularyFile
 
@@ -111,8 +111,23 @@ def entropy(ids):
     return -sum(c / len(ids) * math.log2(c / len(ids)) for c in counts)
 
 
+def brute_script(text):
+    named = collections.Counter()
+    for c in text or "":
+        o = ord(c)
+        if c.isascii() and c.isalpha() or 0xC0 <= o < 0x250 or 0x1E00 <= o < 0x1F00:
+            named["latin"] += 1
+        elif 0x370 <= o < 0x400:
+            named["greek"] += 1
+        elif 0x400 <= o < 0x530:
+            named["cyrillic"] += 1
+        elif 0x3400 <= o < 0xA000:
+            named["han"] += 1
+    return min(named, key=lambda n: (-named[n], n)) if named else ""
+
+
 def brute_judgement(rows, vocabularies, spreads=4.5, fewest=30):
-    floors = (0.02, 0.01, 0.05)
+    floors, steps = (0.02, 0.01, 0.05), (1000, 2000, 400)
     measured = []
     for lang, text in rows:
         base = brute_base(text)
@@ -122,12 +137,33 @@ def brute_judgement(rows, vocabularies, spreads=4.5, fewest=30):
             n = len(ids)
             figures += [len(text) / n, sum(bool(v.bare_byte[k]) for k in ids) / n, entropy(ids)] if n else [0.0] * 3
         failed = base[0] < 50 or 100 * base[4] > 50 * base[0]
-        measured.append((base, figures, failed, (lang, int(math.log2(max(1, base[0]))))))
+        key = (lang or "", int(math.log2(max(1, base[0]))), brute_script(text))
+        measured.append((base, figures, failed, key))
+    judged = [m for m in measured if not m[2]]
+
+    def band_of(key):
+        lang, size, script = key
+        own = collections.defaultdict(list)
+        for m in judged:
+            if m[3][0] == lang:
+                own[m[3][1]].append(m[1])
+        large = [s for s in own if len(own[s]) >= fewest]
+        if large:
+            return own[min(large, key=lambda s: (abs(s - size), -s))]
+        for same in (lambda k: k[0] == lang, lambda k: k[2] == script):
+            found = [m[1] for m in judged if same(m[3])]
+            if len(found) >= fewest:
+                return found
+        return [m[1] for m in judged]
+
+    def quartiles(k, values):
+        step = steps[k % 3]
+        ordered = sorted(math.floor(x * step) for x in values)
+        return [ordered[max(0, math.ceil(p * len(ordered)) - 1)] / step for p in (0.25, 0.5, 0.75)]
+
     bands = {}
-    for key in {m[3] for m in measured}:
-        own = [m[1] for m in measured if m[3] == key and not m[2]]
-        if len(own) >= fewest:
-            bands[key] = [[sorted(x)[max(0, math.ceil(p * len(x)) - 1)] for p in (0.25, 0.5, 0.75)] for x in zip(*own)]
+    for key in {m[3] for m in judged}:
+        bands[key] = [quartiles(k, x) for k, x in enumerate(zip(*band_of(key)))]
     out = []
     for base, figures, failed, key in measured:
         kept = not failed
@@ -152,6 +188,28 @@ def test_judgement_equals_plain_loops(spark, byte_pairs, pieces):
     assert any(not e[5] and not e[6] for e in expected)
 
 
+def test_thin_classes_are_judged_by_the_next_band(spark, byte_pairs, pieces):
+    """Garbage goes whatever its language, length and script, on a table of any size."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r["lang"], r["text"]) for r in docs.collect()]
+    garbage = " ".join(f"{k * 7919 % 10**9:x}{chr(0x4E00 + k)}zq{k}" for k in range(90))
+    words = " ".join(f"слово{k % 97} и{k}" for k in range(120))
+    rows += [("xx", garbage), ("en", " ".join([garbage, *(f"{k:x}#q" for k in range(9000))])), (None, garbage), ("ru", words)]
+    frame = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "doc_id long, lang string, text string")
+    expected = brute_judgement(rows, [byte_pairs, pieces])
+    got = {r["doc_id"]: r["kept"] for r in quality_query(frame).collect()}
+    assert [got[k] for k in range(len(rows))] == [e[6] for e in expected]
+    assert not any(e[6] for e in expected[-4:-1])
+    few = brute_judgement(rows[-4:], [byte_pairs, pieces])
+    small = quality_query(frame.where(frame.doc_id >= len(rows) - 4)).orderBy("doc_id").collect()
+    assert [r["kept"] for r in small] == [e[6] for e in few]
+
+
+@pytest.mark.parametrize("text", ["", "123 !", "abc дом", "дом б a", "漢字 ab", "éß", "αβγ ab", "a\ud800b"])
+def test_scripts(text):
+    assert script_of(text) == brute_script(text)
+
+
 def test_odd_documents(spark):
     rows = [(1, None, None, 1), (2, "", "en", 1), (None, "word " * 60, "en", 1), (3, "x" * 100000, None, 1), (3, "x" * 100000, None, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, n_words int")
@@ -159,3 +217,23 @@ def test_odd_documents(spark):
     assert len(out) == 5 and all(r["base_failed"] and not r["kept"] for r in out)
     assert quality_query(docs.limit(0)).count() == 0
     assert statistics.mean(r["m"]["n_words"] for r in out) == (0 + 0 + 60 + 1 + 1) / 5
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(" \n\t\x85\u2003\x1ca'1.é", max_size=30))
+def test_runs_taken_out_give_the_same_tokens(byte_pairs, text):
+    whole = byte_pairs._encoding.encode_ordinary(text)
+    for longest in (2, 3, 7):
+        assert byte_pairs._tokens(text, longest) == whole
+
+
+@pytest.mark.parametrize("character", [" ", "\n", "x", "\u3000", "é"])
+def test_runs_of_two_million(spark, byte_pairs, pieces, character):
+    text = f"a{character * 2_000_000}b"
+    assert len(byte_pairs.ids(text)) > 60_000 and byte_pairs.width[byte_pairs.ids(text)].sum() == len(text.encode())
+    assert len(pieces.ids(text)) > 2
+    docs = spark.createDataFrame([(1, text, "en")], "doc_id long, text string, lang string")
+    rows = token_counts_query(docs).groupBy().sum("n_tokens").first()
+    assert rows[0] == len(byte_pairs.ids(text))
+    (row,) = quality_query(docs).collect()
+    assert row["base_failed"] and row["word_chars"] == len(re.sub("[\x20\x09-\x0d]", "", text))
