@@ -37,6 +37,28 @@ def encoded(text: str | None) -> bytes:
     return b"" if text is None else text.encode("utf-8", "surrogatepass")
 
 
+def quoted(name: str) -> str:
+    """A column's name as a reference to it, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def carried(docs: DataFrame, *names: str) -> DataFrame:
+    """``row``, all columns of ``docs`` in one, and beside it the columns named.
+
+    Helper columns can then have any name: they meet none of those that are carried.
+    """
+    every = F.struct(*(F.col(quoted(c)).alias(c) for c in docs.columns))
+    return docs.select(every.alias("row"), *(F.col(quoted(n)).alias(n) for n in names))
+
+
+def restored(frame: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of :func:`carried`, some of them with a new value."""
+    row = F.col("row")
+    for name, value in changed.items():
+        row = row.withField(quoted(name), value)
+    return frame.select(row.alias("row")).select("row.*")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

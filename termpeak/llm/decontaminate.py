@@ -6,8 +6,9 @@ ends here and occurs in some item. Where that length reaches the window (13 word
 or all words of an item that has fewer), the run is a hit: its words are marked
 and the items that have the window are noted. A document is contaminated if it has
 a hit and the marked words are at least the coverage limit's share of its words. On
-demand, the marked words of the other documents are cut out of their texts. A text is
-cut once: should what stood before and after a cut make a window together, it stays.
+demand, the marked words of the other documents are cut out of their texts. What stood
+before and after a cut may make a window together; so a text is scanned and cut again
+until no hit is left in it.
 
 Scale. Documents are read once, never shuffled, and every task holds one
 automaton. Its size is checked: items are taken in blocks of at most
@@ -17,11 +18,12 @@ several blocks are put together per text. One item larger than a block is a bloc
 Defined results: null or wordless texts and items have no windows; an item with a
 null ``item_id`` marks words but is not listed; items that share an ``item_id``
 count once; rows that repeat give rows that repeat. Empty tables are no special
-case. Columns other than those named are passed over untouched.
+case. Columns other than those named are passed over untouched, whatever their names.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterable, Iterator
 
@@ -29,7 +31,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import WORD_BYTES, alnum_words, checkpointed, encoded
+from termpeak.llm.common import (
+    WORD_BYTES,
+    alnum_words,
+    carried,
+    checkpointed,
+    encoded,
+    restored,
+    written,
+)
 
 WINDOW = 13
 COVERAGE = 20  # one marked word in so many words contaminates
@@ -153,6 +163,19 @@ class SuffixAutomaton:
         return spans, items
 
 
+# The automaton met last, kept for the tasks that follow in this Python process.
+_LAST: dict[tuple, SuffixAutomaton] = {}
+
+
+def automaton_of(rows: list[tuple[str | None, str | None]], window: int) -> SuffixAutomaton:
+    """The automaton of a block of items, built once in each Python process."""
+    key = (window, len(rows), hashlib.sha256(repr(rows).encode("utf-8", "replace")).digest())
+    if key not in _LAST:
+        _LAST.clear()
+        _LAST[key] = SuffixAutomaton(rows, window)
+    return _LAST[key]
+
+
 def _number_blocks(benchmark: DataFrame, limit: int) -> tuple[DataFrame, int]:
     """The items with the number of their block; how many blocks there are."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -231,7 +254,7 @@ def _scan(docs: DataFrame, items: DataFrame, window: int, text: Column) -> Colum
 
     @F.pandas_udf(_HITS)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        automaton = SuffixAutomaton(shared.value, window)
+        automaton = automaton_of(shared.value, window)
         for texts in batches:
             out = []
             for value in texts:
@@ -281,18 +304,53 @@ def _without_spans(text: Column, hits: Column) -> Column:
     return F.when(hit, cut(F.when(hit, text), hits["spans"])).otherwise(text)
 
 
+def cut_until_clean(automaton: SuffixAutomaton, text: str) -> str:
+    """``text`` without hits; each cut takes words away, so this ends."""
+    while spans := automaton.hits(alnum_words(text))[0]:
+        text = without_spans(text, spans)
+    return text
+
+
+def _cleaned(docs: DataFrame, items: DataFrame, text: Column, hits: Column) -> Column:
+    """As :func:`cut_until_clean`, for the items of one block."""
+    rows = [(r[0], r[1]) for r in items.select("item_id", "text").collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(rows)
+
+    @F.pandas_udf("string")
+    def clean(texts: pd.Series) -> pd.Series:
+        found = [
+            None if t is None else cut_until_clean(automaton_of(shared.value, WINDOW), t)
+            for t in texts
+        ]
+        return pd.Series(found, dtype=object)
+
+    hit = hits["n_hit"] > 0
+    return F.when(hit, clean(F.when(hit, text))).otherwise(text)
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, cut: bool = False) -> DataFrame:
     """``docs`` without contaminated documents; the others are left as they are.
 
-    With ``cut``, the marked spans of the others are cut out of ``text``, so that no
-    benchmark text stays in documents that have too little of it to go.
+    With ``cut``, the others lose the words of every hit in ``text``, until none is left,
+    so that no benchmark text stays in documents that have too little of it to go.
     """
-    found = find_hits(docs.withColumnRenamed("hits", "__docs_hits"), benchmark)
-    kept = found.where(~contaminated(F.col("hits")))
-    if cut:
-        kept = kept.withColumn("text", _without_spans(F.col("text"), F.col("hits")))
-    kept = kept.drop("hits")
-    return kept.withColumnRenamed("__docs_hits", "hits").select(*docs.columns)
+    found = find_hits(carried(docs, "text"), benchmark)
+    hits = F.col("hits")
+    kept = found.where(~contaminated(hits))
+    if not cut:
+        return restored(kept)
+    named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    numbered, blocks = _number_blocks(named, BLOCK_BYTES)
+    if blocks == 1:
+        return restored(kept, text=_cleaned(docs, numbered, F.col("text"), hits))
+    # More blocks than a task may hold: cut, and scan what was cut again, block by block.
+    kept = written(kept, "scanned")
+    clean = kept.where("hits.n_hit = 0").select("row", "text")
+    while not (open_ := kept.where("hits.n_hit > 0")).isEmpty():
+        shorter = open_.select("row", _without_spans(F.col("text"), hits).alias("text"))
+        kept = written(find_hits(shorter, benchmark), "scanned")
+        clean = clean.unionAll(kept.where("hits.n_hit = 0").select("row", "text"))
+    return restored(clean, text=F.col("text"))
 
 
 def decontamination_query(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

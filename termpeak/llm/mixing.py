@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from termpeak.functions.binding import let
-from termpeak.llm.common import checkpointed
+from termpeak.llm.common import carried, checkpointed
 
 OTHER = "*"
 MAX_CELLS = 100_000
@@ -189,17 +189,26 @@ def _with_probability(
 def sample_mix(
     docs: DataFrame, targets: Targets = TARGETS, share: float = SHARE, seed: int = SEED
 ) -> DataFrame:
-    """The sampled documents, with ``probability``.
+    """The sampled documents, with the chance that each had in a column of its own.
 
+    That column is ``probability``, after all others; where ``docs`` has a column of
+    this name, it is ``mix_probability``, with as many ``mix_`` before it as it takes.
     ``targets`` has, for each dimension, the wanted share of each category. The
     dimension ``topic`` is found by :func:`topic`; any other is a column of ``docs``.
     """
-    marked = docs.withColumn("__mix", _cells(docs, targets)).withColumn(
-        "__mix_tokens", token_count(F.col("text"))
+    name = "probability"
+    while name in docs.columns:
+        name = f"mix_{name}"
+    needed = dict.fromkeys(["doc_id", "text", *(t for t in targets if t != "topic")])
+    marked = carried(docs, *needed).select(
+        "row",
+        _draw(seed).alias("draw"),
+        _cells(docs, targets).alias("cell"),
+        token_count(F.col("text")).alias("cell_tokens"),
     )
-    mixed = _with_probability(marked, targets, share, "__mix", "__mix_p")
-    kept = mixed.where(_draw(seed) < F.col("__mix_p"))
-    return kept.withColumn("probability", F.col("__mix_p")).drop("__mix", "__mix_tokens", "__mix_p")
+    mixed = _with_probability(marked, targets, share, "cell", "chance")
+    kept = mixed.where(F.col("draw") < F.col("chance"))
+    return kept.select("row.*", F.col("chance").alias(name))
 
 
 def mix(

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import checkpointed, digest_hex, lower_words
+from termpeak.llm.common import carried, checkpointed, digest_hex, lower_words, restored
 from termpeak.llm.components import connected_components
 
 SHINGLE = 3
@@ -307,16 +307,16 @@ def drop_near_duplicates(docs: DataFrame, width: int = SHINGLE, radius: int = RA
     """
     verdicts = near_duplicates(docs, width=width, radius=radius)
     kept = verdicts.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    one = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    rows = carried(docs, "doc_id", "text")
+    one = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     nameless = verdicts.where("component_id is null").select("fp").distinct()
     without = (
-        docs.where("doc_id is null")
-        .withColumn("__simhash_fp", fingerprint(F.col("text"), width))
-        .join(nameless.withColumnRenamed("fp", "__simhash_fp"), "__simhash_fp", "left_semi")
-        .dropDuplicates(["__simhash_fp"])
-        .drop("__simhash_fp")
+        rows.where("doc_id is null")
+        .withColumn("fp", fingerprint(F.col("text"), width))
+        .join(nameless, "fp", "left_semi")
+        .dropDuplicates(["fp"])
     )
-    return one.unionByName(without)
+    return restored(one.select("row").unionAll(without.select("row")))
 
 
 def simhash_query(docs: DataFrame) -> DataFrame:

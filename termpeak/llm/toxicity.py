@@ -25,7 +25,8 @@ hashes of their ids; units are counted in Spark and only ``SEEDS`` and
 Defined results: null and empty texts have no unit and get the smallest margin.
 With no labelled row of either label nothing can be learned and every score is 0.
 Rows of ``labels`` without a label or id are passed over; if rows for one id
-disagree, toxic wins. Repeated rows give repeated rows.
+disagree, toxic wins. Repeated rows give repeated rows; of rows that share an id one
+is learnt from.
 """
 
 from __future__ import annotations
@@ -257,7 +258,12 @@ def remainder(doc_id: Column) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``text``, ``toxic`` of up to ``size`` training documents of each label."""
+    """``text``, ``toxic`` of up to ``size`` training documents of each label.
+
+    One row to an id, however many rows of ``docs`` share it: that with the smallest
+    text, which pre-aggregates where the rows are. So no more than ``2 * size`` rows are
+    ever learnt from.
+    """
     known = (
         labels.where("doc_id is not null and toxic in (0, 1)")
         .where(remainder(F.col("doc_id")) != 0)
@@ -275,7 +281,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
         part = part.orderBy(F.shiftrightunsigned(hashed, 11), "doc_id").limit(size)
         chosen = part if chosen is None else chosen.unionAll(part)
     # at most 2 * size rows of an id and a label: broadcast whatever the input
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "toxic")
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", "toxic").agg(F.min("text").alias("text")).select("text", "toxic")
 
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model | None:

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -123,6 +124,23 @@ def test_hits_below_the_coverage_are_cut(spark, monkeypatch):
         assert sorted(map(str, got)) == sorted(map(str, expected))
 
 
+@pytest.mark.parametrize("block", [4 << 20, 60])
+def test_what_a_cut_brings_together_is_cut_too(spark, monkeypatch, block):
+    """Half a window, a whole item, the other half: after one cut the halves are a hit."""
+    one = [f"one{k}" for k in range(13)]
+    two = [f"two{k}" for k in range(13)]
+    filler = "lang und breit " * 600
+    text = f"{filler}{' '.join(one[:6])} {' '.join(two)} {' '.join(one[6:])} {filler}"
+    items = [(1, " ".join(one)), (2, " ".join(two)), (3, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = spark.createDataFrame([(1, text), (2, filler), (3, None)], "doc_id long, text string")
+    monkeypatch.setattr("termpeak.llm.decontaminate.BLOCK_BYTES", block)
+    monkeypatch.setattr("termpeak.llm.decontaminate.find_hits", lambda d, b: find_hits(d, b, block_bytes=block))
+    got = {r[0]: r[1] for r in decontaminate(docs, bench, cut=True).collect()}
+    assert brute(got[1], items)[1] == 0 and "one" not in got[1] and "two" not in got[1]
+    assert got[1].split() == (filler * 2).split() and got[2] == filler and got[3] is None
+
+
 def test_empty_tables(spark):
     docs, bench, texts, _ = odd_tables(spark)
     assert find_hits(docs.drop("hits").limit(0), bench).count() == 0
