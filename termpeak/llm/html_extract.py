@@ -1,34 +1,44 @@
 """Main text of web pages by wrapper induction over pages of one host.
 
 Method. Every page becomes a tree of slots: blocks by element and class, with runs of
-like siblings as one slot. One page of each host is its reference. All pages of the
-host are aligned with it by simple tree matching, the largest order-preserving match
-of equal labels. Each aligned leaf votes whether its text is the reference's. Leaves
-that are constant over the host are its template, those that vary its content; the
-content's region is the article or main element that holds most varying text, else
-the deepest slot that holds nearly all of it. A page's main text is what stands in
-the slot aligned with that region.
+like siblings as one slot and chains of lone blocks as one. Pages of one host with the
+same sectioning elements are a layout; of each, one page with text is the reference. All
+its pages are aligned with it by simple tree matching, the largest order-preserving match
+of equal labels. Each aligned leaf votes whether its text is the reference's. Leaves that
+are constant over the layout are its template, those that vary its content.
+
+A page's main text is what stands in its outermost main and article elements, in page
+order, whole, but for those that are template from end to end; a heading of the first
+rank that stands before an article without one belongs to it. Where no such element is
+marked, it is the region that holds most varying text: the deepest slot that holds nearly
+all of it, as aligned, without the constant leaves.
 
 Alignment alone cannot tell an article from a menu or an advert that also vary, so
-elements that say what they are (``nav``, ``footer``, class ``ad``, and so on) are
-never content. Within an article or main element nothing else is left out, as a
-paragraph that many pages share is still theirs; elsewhere constant leaves are.
-
-Scale. Pages meet their host's reference in a join, not in a group: no task holds a
-host. References of all hosts are broadcast up to a checked size; beyond it the join
-shuffles, with large hosts dealt out over salts. Votes are summed in each batch before
-they are shuffled. Trees live one page at a time.
+elements that say what they are (``nav``, ``footer``, class ``ad``, and so on) are never
+content. A class or id says so only if all its words do (``related-posts``, but not
+``related-work``), and it does not count for an element that holds the page's article or,
+where none is marked, most of its text. Within an article or main element nothing else is
+left out, as a paragraph that many pages share is still theirs.
+
+Scale. Pages meet their layout's reference in a join, not in a group: no task holds a
+host. References are broadcast up to a checked size; beyond it the join shuffles, with
+large layouts dealt out over salts. Votes are summed in each batch before they are
+shuffled. Trees live one page at a time; parsing takes time linear in the page, and long
+lists of children are matched exactly in memory linear in their number.
 
 Defined results: null or empty html gives empty text; a null or odd url is the host
-``""``; hosts of one page have no constant leaves; repeated rows give repeated rows.
+``""``; layouts of one or two pages have no constant leaves; of two regions with equal
+text the first in the page counts; repeated rows give repeated rows.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,8 +51,7 @@ CONSTANT = 0.9  # share of pages with the same text
 MOST = 0.7  # share of the varying text that a slot needs to be the region
 BROADCAST_BYTES = 32 << 20  # of all hosts' references and votes
 SALTS = 64
-DEEPEST = 60  # levels of slots; what is deeper counts as text of the last
-LARGEST = 40_000  # pairs of children matched exactly; beyond, in order of their labels
+TABLE = 40_000  # pairs of children that are matched with a whole table in memory
 
 # Elements that are never part of the main text, wherever they stand.
 _NEVER = frozenset(
@@ -61,6 +70,13 @@ _SAYS = frozenset(
     "related replies reply respond share sharing sidebar sidebars skip social sponsor "
     "sponsored subscribe subscription toolbar widget widgets".split()
 )
+# Words that go with these and say nothing of their own.
+_BESIDE = frozenset(
+    "area article articles bar bars block blocks body bottom box boxes button buttons col column "
+    "container content desktop global holder icon icons id inner item items left link links list "
+    "main media mobile outer panel post posts primary right row secondary section site slot "
+    "sticky text title to top unit wrap wrapper x xs sm md lg xl js the my".split()
+)
 # And those that say it outside an article only, where they are a page's header.
 _OUTSIDE = frozenset(["header", "masthead", "topbar"])
 # An article that says this is none: a reader's comment, an advert, a teaser.
@@ -68,23 +84,47 @@ _NO_ARTICLE = frozenset(
     "ad ads advert advertisement comment comments promo promotion related reply sponsor "
     "sponsored teaser".split()
 )
+# What readers write may be longer than the article, and is none of it all the same.
+_READERS = frozenset("comment comments commentlist disqus replies reply respond".split())
 # Words by which an element speaks of the page's layout and not of itself.
 _LAYOUT = frozenset("has with no without layout page".split())
 _UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _MAIN = ("article", "main")
 _WORD = re.compile(r"[a-z]+|[0-9]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _said(node: Node) -> set[str]:
+def _names(node: Node) -> list[set[str]]:
+    """The words of each class and of the id."""
     own = node.attributes
     raw = f"{own.get('class', '')} {own.get('id', '')}"
-    return set(_WORD.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", raw).lower())) if raw != " " else set()
+    if raw == " ":
+        return []
+    return [set(_WORD.findall(_CAMEL.sub(" ", name).lower())) for name in raw.split()]
+
+
+def _says(names: list[set[str]], words: frozenset[str]) -> bool:
+    """Whether some name has one of the words and none of a meaning of its own."""
+    return any(
+        own & words and all(w in words or w in _BESIDE or w.isdigit() for w in own)
+        for own in names
+    )
+
+
+def by_name(node: Node) -> bool:
+    """Whether an element is left out for what it calls itself, or as a form."""
+    if node.tag == "form":
+        return True
+    if not node.attributes or node.tag in ("html", "body", *_MAIN):
+        return False
+    names = _names(node)
+    return _says(names, _SAYS) and not set().union(*names) & _LAYOUT
 
 
 def boilerplate(node: Node, inside: bool) -> bool:
     """Whether an element is none of the main text; ``inside`` an article or main."""
     if node.tag in _NEVER:
-        return True
+        return not (node.tag == "form" and node.spared)
     own = node.attributes
     if not own:
         return node.tag == "header" and not inside
@@ -94,22 +134,99 @@ def boilerplate(node: Node, inside: bool) -> bool:
         return True
     if node.tag in ("html", "body"):
         return False
-    said = _said(node)
     if node.tag in _MAIN:
-        return bool(said & _NO_ARTICLE)
-    if said & _SAYS and not said & _LAYOUT:
+        return any(name & _NO_ARTICLE for name in _names(node))
+    if by_name(node) and not node.spared:
         return True
-    return not inside and (node.tag == "header" or bool(said & _OUTSIDE))
+    return not inside and (node.tag == "header" or _says(_names(node), _OUTSIDE))
 
 
 def is_main(node: Node) -> bool:
     return node.tag in _MAIN or node.attributes.get("role") == "main"
 
 
-def blocks(nodes: list[Node], left_out: frozenset[int] = frozenset()) -> list[str]:
+def main_regions(root: Node) -> list[Node]:
+    """The outermost main and article elements, in page order.
+
+    A first-rank heading outside them comes along if it stands before an article and
+    they have none.
+    """
+    regions: list[Node] = []
+    headings: list[Node] = []
+    todo = [root]
+    while todo:
+        node = todo.pop()
+        if is_main(node) and not boilerplate(node, False):
+            regions.append(node)
+        elif node.tag == "h1" and not regions and not boilerplate(node, False):
+            headings.append(node)
+        elif not boilerplate(node, False):
+            todo.extend(c for c in reversed(node.children) if isinstance(c, Node))
+    if regions and headings and not any(_has(r, "h1") for r in regions):
+        return [*headings, *regions]
+    return regions
+
+
+def _has(node: Node, tag: str) -> bool:
+    todo = [node]
+    while todo:
+        own = todo.pop()
+        if own.tag == tag:
+            return True
+        todo.extend(c for c in own.children if isinstance(c, Node))
+    return False
+
+
+def page_tree(html: str) -> Node:
+    """The tree of a page; elements that hold its main text are spared.
+
+    Should what elements call themselves leave no article, those that hold one are
+    spared; and where none is marked, those that hold more than half of all text.
+    """
+    root = parse(html)
+    if any(blocks([r], first=True) for r in main_regions(root)):
+        return root
+    named, weight, holds = _weighed(root)
+    for node in named:
+        node.spared = holds[id(node)]
+    if any(blocks([r], first=True) for r in main_regions(root)):
+        return root
+    total = weight[id(root)]
+    for node in named:
+        read = not any(n & _READERS for n in _names(node))
+        node.spared = node.spared or (read and 2 * weight[id(node)] > total)
+    return root
+
+
+def _weighed(root: Node) -> tuple[list[Node], dict[int, int], dict[int, bool]]:
+    """Elements left out by name, the characters in each element, and whether it holds
+    an article or main."""
+    order, todo = [], [root]
+    while todo:
+        node = todo.pop()
+        order.append(node)
+        if node.tag not in _NEVER or node.tag == "form":
+            todo.extend(c for c in node.children if isinstance(c, Node))
+    weight: dict[int, int] = {}
+    holds: dict[int, bool] = {}
+    for node in reversed(order):
+        inner = [c for c in node.children if isinstance(c, Node)]
+        own = sum(len(c.strip()) for c in node.children if isinstance(c, str))
+        unread = node.tag in _NEVER and node.tag != "form"
+        weight[id(node)] = 0 if unread else own + sum(weight.get(id(c), 0) for c in inner)
+        holds[id(node)] = any(
+            holds.get(id(c), False) or is_main(c) and not boilerplate(c, False) for c in inner
+        )
+    return [n for n in order if by_name(n)], weight, holds
+
+
+def blocks(
+    nodes: list[Node], left_out: frozenset[int] = frozenset(), first: bool = False
+) -> list[str]:
     """Texts of the blocks of some elements, in page order, without empty ones.
 
-    ``left_out`` has the ``id()`` of further elements to pass over.
+    ``left_out`` has the ``id()`` of further elements to pass over; ``first``: no more
+    than the first block, to see if there is any.
     """
     out: list[str] = []
     held: list[str] = []
@@ -121,7 +238,7 @@ def blocks(nodes: list[Node], left_out: frozenset[int] = frozenset()) -> list[st
         held.clear()
 
     todo: list = [(n, False) for n in reversed(nodes)]
-    while todo:
+    while todo and not (first and out):
         item, inside = todo.pop()
         if item is None:
             flush()
@@ -153,10 +270,6 @@ class Slot:
     kids: list[Slot] = field(default_factory=list)
     number: int = 0
 
-    @property
-    def main(self) -> bool:
-        return is_main(self.nodes[0])
-
 
 def _label(node: Node) -> str:
     names = node.attributes.get("class", "") if node.attributes else ""
@@ -168,26 +281,30 @@ def _inner_blocks(node: Node) -> list[Node]:
 
 
 def slots_of(root: Node) -> list[Slot]:
-    """All slots of a page in page order, the whole page first; no boilerplate."""
+    """All slots of a page in page order, the whole page first; no boilerplate.
+
+    A slot of one element with one block in it and no text beside that block stands for
+    both, so that wrappers around wrappers make no levels.
+    """
     top = Slot("#page", [root], False)
     out = [top]
-    todo = [(top, 0)]
+    todo = [top]
     while todo:
-        slot, depth = todo.pop()
-        slot.number = 0
-        if depth < DEEPEST:
-            last: Slot | None = None
-            for node in slot.nodes:
-                for child in _inner_blocks(node):
-                    if boilerplate(child, slot.inside):
-                        continue
-                    label = _label(child)
-                    if last is not None and last.label == label:
-                        last.nodes.append(child)
-                    else:
-                        last = Slot(label, [child], slot.inside or is_main(child))
-                        slot.kids.append(last)
-            todo.extend((k, depth + 1) for k in reversed(slot.kids))
+        slot = todo.pop()
+        if slot is not top:
+            _narrow(slot)
+        last: Slot | None = None
+        for node in slot.nodes:
+            for child in _inner_blocks(node):
+                if boilerplate(child, slot.inside):
+                    continue
+                label = _label(child)
+                if last is not None and last.label == label:
+                    last.nodes.append(child)
+                else:
+                    last = Slot(label, [child], slot.inside or is_main(child))
+                    slot.kids.append(last)
+        todo.extend(reversed(slot.kids))
         if slot is not top:
             out.append(slot)
     for k, slot in enumerate(out):
@@ -195,23 +312,40 @@ def slots_of(root: Node) -> list[Slot]:
     return out
 
 
+def _narrow(slot: Slot) -> None:
+    """Go down a chain of lone blocks, up to a main element or to what is more."""
+    while len(slot.nodes) == 1 and not is_main(slot.nodes[0]):
+        node = slot.nodes[0]
+        if len(node.children) != 1 or not isinstance(node.children[0], Node):
+            return
+        child = node.children[0]
+        if child.tag not in BLOCKS or boilerplate(child, slot.inside):
+            return
+        slot.label = f"{slot.label}/{_label(child)}"
+        slot.nodes = [child]
+        slot.inside = slot.inside or is_main(child)
+
+
 def align(one: Slot, two: Slot) -> dict[int, Slot]:
     """Numbers of ``one``'s slots with the slots of ``two`` they match.
 
     Simple tree matching: slots match if their labels do, and their kids match in
     order so that most slots are matched in all.
     """
-    weights: dict[tuple[int, int], tuple[int, list]] = {}
+    weights: dict[tuple[int, int], int] = {}
+    tables: dict[tuple[int, int], list[list[int]]] = {}
 
     def weigh(a: Slot, b: Slot) -> int:
         if a.label != b.label:
             return 0
         known = weights.get((a.number, b.number))
         if known is not None:
-            return known[0]
+            return known
         n, m = len(a.kids), len(b.kids)
-        if n * m > LARGEST:
-            best, table = _in_order(a, b)
+        if not n or not m:
+            best = 0
+        elif n * m > TABLE:
+            best = int(_last_row(a.kids, b.kids, weigh)[-1])
         else:
             table = [[0] * (m + 1) for _ in range(n + 1)]
             for i in range(1, n + 1):
@@ -220,43 +354,91 @@ def align(one: Slot, two: Slot) -> dict[int, Slot]:
                     own = weigh(kid, b.kids[j - 1])
                     row[j] = max(row[j - 1], above[j], above[j - 1] + own if own else 0)
             best = table[n][m]
-        weights[a.number, b.number] = (best + 1, table)
+            tables[a.number, b.number] = table
+        weights[a.number, b.number] = best + 1
         return best + 1
 
-    def _in_order(a: Slot, b: Slot) -> tuple[int, list]:
-        pairs, start = [], 0
-        places: dict[str, list[int]] = {}
-        for j, kid in enumerate(b.kids):
-            places.setdefault(kid.label, []).append(j)
-        for i, kid in enumerate(a.kids):
-            j = next((p for p in places.get(kid.label, ()) if p >= start), None)
-            if j is not None:
-                pairs.append((i, j))
-                start = j + 1
-        return sum(weigh(a.kids[i], b.kids[j]) for i, j in pairs), [pairs]
-
     found: dict[int, Slot] = {}
-    if not weigh(one, two):
-        return found
+    limit = sys.getrecursionlimit()
+    # calls go as deep as the slots do; calls of Python functions take no machine stack
+    sys.setrecursionlimit(max(limit, 10_000 + 4 * _depth(one)))
+    try:
+        if not weigh(one, two):
+            return found
+        todo = [(one, two)]
+        while todo:
+            a, b = todo.pop()
+            found[a.number] = b
+            i, j = len(a.kids), len(b.kids)
+            if i * j > TABLE:
+                todo.extend(_pairs(a.kids, b.kids, weigh))
+                continue
+            table = tables.get((a.number, b.number))
+            while i and j and table:
+                own = weigh(a.kids[i - 1], b.kids[j - 1])
+                if own and table[i][j] == table[i - 1][j - 1] + own:
+                    todo.append((a.kids[i - 1], b.kids[j - 1]))
+                    i, j = i - 1, j - 1
+                elif table[i][j] == table[i - 1][j]:
+                    i -= 1
+                else:
+                    j -= 1
+    finally:
+        sys.setrecursionlimit(limit)
+    return found
+
+
+def _depth(slot: Slot) -> int:
+    level, depth = [slot], 0
+    while level:
+        level, depth = [k for s in level for k in s.kids], depth + 1
+    return depth
+
+
+def _last_row(one: list[Slot], two: list[Slot], weigh: Callable[[Slot, Slot], int]) -> np.ndarray:
+    """The weight of the best match of ``one`` with every beginning of ``two``."""
+    places: dict[str, list[int]] = {}
+    for j, kid in enumerate(two):
+        places.setdefault(kid.label, []).append(j)
+    at = {label: np.array(own) for label, own in places.items()}
+    plain = {label: all(not two[j].kids for j in own) for label, own in places.items()}
+    row = np.zeros(len(two) + 1, np.int64)
+    for kid in one:
+        where = at.get(kid.label)
+        if where is None:
+            continue
+        if not kid.kids or plain[kid.label]:
+            own = 1
+        else:
+            own = np.array([weigh(kid, two[j]) for j in where.tolist()])
+        diagonal = row.copy()
+        diagonal[where + 1] = np.maximum(diagonal[where + 1], row[where] + own)
+        row = np.maximum.accumulate(diagonal)
+    return row
+
+
+def _pairs(
+    one: list[Slot], two: list[Slot], weigh: Callable[[Slot, Slot], int]
+) -> list[tuple[Slot, Slot]]:
+    """The pairs of the best match, in memory linear in the lists: the first half of
+    ``one`` goes with that beginning of ``two`` which is best for both halves."""
+    out: list[tuple[Slot, Slot]] = []
     todo = [(one, two)]
     while todo:
         a, b = todo.pop()
-        found[a.number] = b
-        table = weights[a.number, b.number][1]
-        i, j = len(a.kids), len(b.kids)
-        if i * j > LARGEST:
-            todo.extend((a.kids[x], b.kids[y]) for x, y in table[0])
+        if not a or not b:
             continue
-        while i and j:
-            own = weigh(a.kids[i - 1], b.kids[j - 1])
-            if own and table[i][j] == table[i - 1][j - 1] + own:
-                todo.append((a.kids[i - 1], b.kids[j - 1]))
-                i, j = i - 1, j - 1
-            elif table[i][j] == table[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-    return found
+        if len(a) == 1:
+            own = [weigh(a[0], kid) for kid in b]
+            if max(own):
+                out.append((a[0], b[own.index(max(own))]))
+            continue
+        half = len(a) // 2
+        before = _last_row(a[:half], b, weigh)
+        after = _last_row(a[half:][::-1], b[::-1], weigh)[::-1]
+        cut = int(np.argmax(before + after))
+        todo += [(a[:half], b[:cut]), (a[half:], b[cut:])]
+    return out
 
 
 @dataclass(frozen=True)
@@ -267,21 +449,23 @@ class Vote:
 
 
 class Wrapper:
-    """What is known of a host: its reference page and the votes on its leaves."""
+    """What is known of a layout: its reference page and the votes on its leaves."""
 
     def __init__(self, html: str, votes: dict[int, Vote] | None = None) -> None:
-        self.slots = slots_of(parse(html))
+        self.slots = slots_of(page_tree(html))
         self.votes = votes or {}
         self.constant = {
             k
             for k, v in self.votes.items()
             if v.pages >= FEWEST and v.same >= CONSTANT * v.pages
         }
-        self.region = region(self.slots, {k: v.chars for k, v in self.votes.items() if k not in self.constant})
+        varying = {k: v.chars for k, v in self.votes.items() if k not in self.constant}
+        self.region = region(self.slots, varying)
+        self.texts: dict[int, str] = {}
 
     def votes_of(self, html: str) -> list[tuple[int, int, int]]:
         """Of every aligned leaf: its number, whether the text is the same, its length."""
-        page = slots_of(parse(html))
+        page = slots_of(page_tree(html))
         out = []
         for number, slot in align(self.slots[0], page[0]).items():
             own = self.slots[number]
@@ -291,22 +475,31 @@ class Wrapper:
         return out
 
     def leaf_text(self, number: int) -> str:
-        return "\n".join(blocks(self.slots[number].nodes))
+        if number not in self.texts:
+            self.texts[number] = "\n".join(blocks(self.slots[number].nodes))
+        return self.texts[number]
 
     def text_of(self, html: str) -> str:
-        """The main text of a page of this host."""
-        page = slots_of(parse(html))
+        """The main text of a page of this layout."""
+        root = page_tree(html)
+        page = slots_of(root)
         matched = align(self.slots[0], page[0])
-        chosen = matched.get(self.region.number)
-        if chosen is None or not chosen.main:
-            own = region(page, {s.number: sum(map(len, blocks(s.nodes))) for s in page if not s.kids})
-            if own.main or chosen is None:
-                chosen = own
-        if chosen.main:
-            return "\n".join(blocks(chosen.nodes))
         fixed = frozenset(
-            id(n) for k in self.constant if k in matched for n in matched[k].nodes
+            id(n)
+            for k in self.constant
+            if k in matched and not matched[k].kids
+            for n in matched[k].nodes
         )
+        regions = [r for r in main_regions(root) if blocks([r], first=True)]
+        if len(regions) > 1:
+            live = [r for r in regions if r.tag == "h1" or blocks([r], fixed, first=True)]
+            regions = live if any(is_main(r) for r in live) else regions
+        if regions:
+            return "\n".join(blocks(regions))
+        chosen = matched.get(self.region.number)
+        if chosen is None:
+            mass = {s.number: sum(map(len, blocks(s.nodes))) for s in page if not s.kids}
+            chosen = region(page, mass)
         return "\n".join(blocks(chosen.nodes, fixed))
 
 
@@ -316,11 +509,6 @@ def region(slots: list[Slot], chars: dict[int, int]) -> Slot:
     for slot in reversed(slots):
         own = sum(mass[k.number] for k in slot.kids) if slot.kids else chars.get(slot.number, 0)
         mass[slot.number] = own
-    mains = [s for s in slots if s.main]
-    if mains:
-        best = max(mains, key=lambda s: (mass[s.number], -s.number))
-        inner = [s for s in mains if s.main and _within(s, best) and s.label.startswith("article")]
-        return max(inner, key=lambda s: (mass[s.number], -s.number)) if inner else best
     here = slots[0]
     while here.kids:
         heavy = max(here.kids, key=lambda s: (mass[s.number], -s.number))
@@ -330,23 +518,22 @@ def region(slots: list[Slot], chars: dict[int, int]) -> Slot:
     return here
 
 
-def _within(slot: Slot, outer: Slot) -> bool:
-    todo = list(outer.kids)
-    while todo:
-        own = todo.pop()
-        if own is slot:
-            return True
-        todo.extend(own.kids)
-    return False
-
-
 def host_of(url: Column) -> Column:
     found = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1)
     return F.coalesce(F.lower(found), F.lit(""))
 
 
+def layout_of(html: Column) -> Column:
+    """The sectioning elements that a page has, by name; pages of one host that differ
+    in these are not aligned with each other."""
+    tags = F.regexp_extract_all(
+        html, F.lit(r"<(article|aside|footer|form|header|main|nav|section|table)[\s>]"), F.lit(1)
+    )
+    return F.array_join(F.array_sort(F.array_distinct(tags)), ",")
+
+
 class _Recent(dict):
-    """The wrappers of the hosts met last; within a task pages come sorted by host."""
+    """The wrappers of the layouts met last; within a task pages come sorted by these."""
 
     def of(self, host: str, make) -> Wrapper:
         if host not in self:
@@ -403,7 +590,7 @@ def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
     )
     salts = F.coalesce("salts", F.lit(1))
     own = pages.join(large, "host", "left").withColumn(
-        "salt", F.pmod(F.xxhash64("url", "html"), salts).cast("int")
+        "salt", F.pmod(F.monotonically_increasing_id(), salts).cast("int")
     )
     dealt = table.join(large, "host", "left").withColumn(
         "salt", F.explode(F.sequence(F.lit(0), salts - 1))
@@ -412,10 +599,15 @@ def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
 
 
 def induce_wrappers(pages: DataFrame) -> DataFrame:
-    """``host``, ``reference`` (html of one page), ``votes`` on its leaves, ``bytes``."""
+    """``host``, ``reference`` (html of one page), ``votes`` on its leaves, ``bytes``.
+
+    What is called the host here is a host and a layout. Only where no page has a
+    character outside its tags is the reference one without text.
+    """
+    has_text = F.regexp_like("html", F.lit(r">\s*[^<\s]|^\s*[^<\s]"))
     references = checkpointed(
         pages.groupBy("host")
-        .agg(F.min_by("html", F.struct(F.xxhash64("url", "html"), "html")).alias("reference"))
+        .agg(F.min_by("html", F.struct(~has_text, F.xxhash64("url", "html"), "html")).alias("reference"))
         .withColumn("bytes", F.octet_length("reference") + F.octet_length("host") + 100)
     )
     votes = (
@@ -444,7 +636,9 @@ def extract_text(pages: DataFrame) -> DataFrame:
         "page_id",
         "url",
         F.coalesce("html", F.lit("")).alias("html"),
-        host_of(F.col("url")).alias("host"),
+        F.concat_ws(
+            "\n", host_of(F.col("url")), layout_of(F.coalesce("html", F.lit("")))
+        ).alias("host"),
     )
     kind = dict(pages.dtypes)
     return (

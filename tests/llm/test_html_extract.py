@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from html import unescape
 
 import pytest
@@ -116,7 +117,7 @@ def test_odd_markup(html, text):
 
 
 def test_wide_pages_are_matched_in_order():
-    html = "".join(f"<div class=c{k}><p>t{k}</p></div>" for k in range(400))
+    html = "".join(f"<div class=c{k}><p>t{k}</p>more</div>" for k in range(400))
     assert len(align(slots_of(parse(html))[0], slots_of(parse(html))[0])) == 801
 
 
@@ -131,3 +132,91 @@ def test_odd_rows(spark):
     got = sorted(((r[0] or 0, r[1] or "", r[2], r[3]) for r in extraction_query(pages).collect()))
     assert got == [(0, "http://h/", "", 0), (1, "", "", 0), (2, "no url", "p", 1), (2, "no url", "p", 1), (3, "http://H/a", "q", 1)]
     assert extraction_query(pages.limit(0)).count() == 0
+
+
+def text_of(html):
+    return Wrapper("").text_of(html)
+
+
+LONG = "Much of what this page has to say stands in this paragraph, and more would follow."
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<main><h1>Title</h1><p>Lead</p><article><p>{LONG}</p></article><p>End</p></main>", f"Title\nLead\n{LONG}\nEnd"),
+        (f"<article class=a><p>One</p></article><hr><article class=b><p>{LONG}</p></article>", f"One\n{LONG}"),
+        (f"<nav>menu</nav><h1>Title</h1><article><p>{LONG}</p></article>", f"Title\n{LONG}"),
+        (f"<h1>Site</h1><article><h1>Own</h1><p>{LONG}</p></article>", f"Own\n{LONG}"),
+        (f'<div class="container sidebar-right"><article><p>{LONG}</p></article></div>', LONG),
+        (f'<div class="entry comments-open"><article><p>{LONG}</p></article></div>', LONG),
+        (f'<form id="aspnetForm"><article><p>{LONG}</p></article></form>', LONG),
+        (f'<form id="aspnetForm"><div><p>{LONG}</p></div></form>', LONG),
+        (f'<div class="container sidebar-right"><p>{LONG}</p></div><footer>x</footer>', LONG),
+        (f'<article><p>{LONG}</p><div class="related-work">Others</div><table class="share-price-table"><tr><td>7</table>'
+         '<div class="notice-of-law">Law</div><div class="related-posts">Not this</div></article>', f"{LONG}\nOthers\n7\nLaw"),
+        (f'<article><p>Short</p></article><div class="comments"><p>{LONG}</p><article class=comment>{LONG}</article></div>', "Short"),
+        (f'<p>{LONG}</p><div class="comments"><p>{LONG} {LONG} {LONG}</p></div>', LONG),
+        (f'<article><p>{LONG}</p></article><div class="related-posts"><article><p>Teaser</p></article></div>', LONG),
+        ("<div>" * 70 + f"<div><article><p>{LONG}</p></article></div><div>junk beside it</div>", LONG),
+        ("".join(f"<div class=w{k}><p>t{k}</p>" for k in range(70)) + f"<article><p>{LONG}</p></article>", LONG),
+    ],
+)
+def test_regions(html, text):
+    for page in (html, f"<html><body>{html}</body></html>"):
+        assert text_of(page) == text
+        assert Wrapper(page).text_of(page) == text
+
+
+def test_an_article_that_is_template_goes_where_another_varies(spark):
+    rows = [
+        (k, f"https://h.example/{k}", f"<article class=letter><p>Read our letter today.</p></article><article><p>Story {k} {LONG}</p></article>")
+        for k in range(5)
+    ] + [(9, "https://h.example/9", "<article class=letter><p>Read our letter today.</p></article>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
+    assert got == {k: f"Story {k} {LONG}" for k in range(5)} | {9: "Read our letter today."}
+
+
+@pytest.mark.parametrize("odd", ["", "   ", None, "<div></div>", "<p>Error 500</p>"])
+def test_an_odd_page_of_the_host_changes_nothing(spark, odd):
+    rows = [(k, f"https://plain.example/{k}", page_of(k, f"Body {k * 17} differs on every page.")) for k in range(9)]
+    rows += [(100 + k, f"https://plain.example/odd{k}", odd) for k in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    texts = {r["page_id"]: r["text"] for r in extract_text(pages).collect()}
+    for k in range(9):
+        assert texts[k].startswith(f"Story {k} begins") and "The Daily Page" not in texts[k]
+
+
+@pytest.mark.parametrize("width", [30, 251, 700])
+def test_wide_lists_are_matched_exactly(width):
+    """One of many children moved from front to back: all others still match."""
+    kids = [f"<div class=c{k}><p>t{k}</p><ul><li>x</ul></div>" for k in range(width)]
+    one, two = slots_of(parse("".join(kids))), slots_of(parse("".join(kids[1:] + kids[:1])))
+    assert len(align(one[0], two[0])) == 1 + 3 * (width - 1)
+
+
+def test_matching_in_halves_is_the_largest_match(monkeypatch):
+    monkeypatch.setattr("termpeak.llm.html_extract.TABLE", 0)
+    draw = random.Random(9)
+    for _ in range(150):
+        one, two = (slots_of(parse(random_page(draw))) for _ in range(2))
+        assert len(align(one[0], two[0])) == brute_match(one[0], two[0])
+
+
+@pytest.mark.parametrize(
+    "unit, more", [("<a ", ""), ("<a x=\"", ""), ("<a x=\">'", '"'), ("<p title='>", ""), ("<div>", ""), ("<div><p>", ""), ("<", ""),
+                   ("<!-- ", ""), ("<li><b>", ""), ("<i ", ">"), ("</b>", "<"), ("&amp", "")]
+)
+def test_a_megabyte_of_broken_tags_parses_in_seconds(unit, more):
+    start = time.perf_counter()
+    parse(unit * (1_000_000 // len(unit)) + more)
+    assert time.perf_counter() - start < 20
+
+
+def test_deep_pages_are_aligned_to_the_bottom():
+    def page(text):
+        return "".join(f"<div class=d{k}><p>n{k}</p>" for k in range(900)) + f"<section><p>{text}</p></section>"
+
+    assert len(align(slots_of(parse(page("a")))[0], slots_of(parse(page("b")))[0])) == 1 + 1800 + 2
+    assert text_of(page("a")).endswith("n899\na")
