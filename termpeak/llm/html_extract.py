@@ -2,7 +2,7 @@
 
 Method. Every page becomes a tree of slots: blocks by element and class, with runs of
 like siblings as one slot and chains of lone blocks as one. Pages of one host with the
-same sectioning elements are a layout; of each, one page with text is the reference. All
+same sectioning elements are a layout; of each, a page of middling size is the reference. All
 its pages are aligned with it by simple tree matching, the largest order-preserving match
 of equal labels. Each aligned leaf votes whether its text is the reference's. Leaves that
 are constant over the layout are its template, those that vary its content.
@@ -601,13 +601,24 @@ def _beside(pages: DataFrame, table: DataFrame) -> DataFrame:
 def induce_wrappers(pages: DataFrame) -> DataFrame:
     """``host``, ``reference`` (html of one page), ``votes`` on its leaves, ``bytes``.
 
-    What is called the host here is a host and a layout. Only where no page has a
-    character outside its tags is the reference one without text.
+    What is called the host here is a host and a layout. The reference is the page with
+    text whose number of tags is nearest to the middle of all: not an empty page or an
+    error page, unless the host has nothing else.
     """
+    tags = F.regexp_count("html", F.lit("<"))
     has_text = F.regexp_like("html", F.lit(r">\s*[^<\s]|^\s*[^<\s]"))
+    sized = pages.select("*", F.when(has_text, tags).alias("tags"))
+    middle = sized.groupBy("host").agg(
+        F.coalesce(F.percentile_approx("tags", 0.5, 1000), F.lit(0)).alias("middle")
+    )
+    middles = checkpointed(middle.withColumn("bytes", F.octet_length("host") + 100))
+    away = F.struct(
+        F.col("tags").isNull(), F.abs(F.col("tags") - F.col("middle")), F.xxhash64("html"), "html"
+    )
     references = checkpointed(
-        pages.groupBy("host")
-        .agg(F.min_by("html", F.struct(~has_text, F.xxhash64("url", "html"), "html")).alias("reference"))
+        _beside(sized, middles)
+        .groupBy("host")
+        .agg(F.min_by("html", away).alias("reference"))
         .withColumn("bytes", F.octet_length("reference") + F.octet_length("host") + 100)
     )
     votes = (
