@@ -53,7 +53,8 @@ NEGATIVES = 6_000
 LANDMARKS = 192
 EVIDENCE = 10.83  # likelihood ratio of a unit and the label, one in a thousand by chance
 FLOOR = -2.0  # margin of a text without units
-_CACHE = 400_000
+_CACHE = 150_000  # units whose margin a worker remembers
+_TEXTS = 200  # whose units are held at a time
 
 _LETTERS = 28  # a-z, one code for digits, and the start of a unit
 _ALPHABET = 41  # and twelve for all other characters
