@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Iterator
+from typing import TYPE_CHECKING
 
 import pandas as pd
-from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from termpeak.plans.layout import scratch_path
 
+if TYPE_CHECKING:
+    from pyarrow.fs import FileSystem
+
 def tree_root(spark: SparkSession, path: str) -> str:
     """The directory as a plain path on a local file system, as a URI on any other."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
@@ -21,8 +24,10 @@ def tree_root(spark: SparkSession, path: str) -> str:
     return uri.toString().rstrip("/")
 
 
-def open_tree(root: str) -> tuple[fs.FileSystem, str]:
+def open_tree(root: str) -> tuple[FileSystem, str]:
     """Arrow's file system for a root, and the root's path on it."""
+    from pyarrow import fs  # only tasks that read or write trees need it
+
     if root.startswith("/"):
         return fs.LocalFileSystem(), root
     system, path = fs.FileSystem.from_uri(root)
@@ -39,6 +44,8 @@ def tree_files(spark: SparkSession, path: str) -> DataFrame:
     root = tree_root(spark, path)
 
     def entries(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyarrow import fs
+
         system, base = open_tree(root)
         for frame in frames:
             for directory in frame["filename"]:
