@@ -94,3 +94,30 @@ def test_mixing(stages):
 def test_run_gives_the_last_stage(spark, stages, sf_dir):
     got = rows_of(corpus_pipeline.run(spark, sf_dir))
     assert got.keys() == rows_of(stages["mixing"][1]).keys()
+
+
+def tables_in(spark, folder, docs, items, labels):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_run_over_nulls_and_odd_names(spark, tmp_path):
+    text = "a line of some words here\nanother line with other words in it\n"
+    rows = [(None, None, None, None, None), (None, None, None, None, None), (1, None, "en", "s", 0)]
+    rows += [(2, "", None, "s", 0), (3, text, None, None, None), (None, text + "its own end of it all", "xx", "s", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "'x' AS `a.b`", "1 AS hits", "2 AS row")
+    out = corpus_pipeline.run(spark, tables_in(spark, tmp_path, docs, [(None, None)], [(None, None, None)]))
+    assert out.columns == [*docs.columns, "probability"]
+    got = out.collect()
+    assert len(got) <= 4 and all(r["a.b"] == "x" and r["row"] == 2 for r in got)
+    assert {r["doc_id"] for r in got} <= {None, 1, 2, 3}
+
+
+def test_run_over_empty_tables(spark, tmp_path):
+    docs = spark.createDataFrame([], SCHEMA)
+    assert corpus_pipeline.run(spark, tables_in(spark, tmp_path, docs, [], [])).count() == 0
