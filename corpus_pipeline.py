@@ -2,6 +2,13 @@
 
 A stage takes (spark, docs, sf_dir) and returns documents again, with the columns of
 ``documents``; the last one adds the probability with which a document was kept.
+
+Defined results: a null text has no words and no lines and stays null; a null language or
+source is one like any other; of rows without an id, equal texts are one group of which
+one row stays; documents with null or empty text are one group of the SimHash stage.
+Repeated rows fare alike up to that stage, which leaves one. Without labels of both kinds
+nothing is toxic, without benchmark items nothing is contaminated, and an empty table
+gives no rows. Columns beyond those of ``documents`` go along, whatever their names.
 """
 
 from __future__ import annotations
