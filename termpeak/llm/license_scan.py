@@ -3,7 +3,9 @@
 Method. A unit of text is lower-cased and reduced to words; its set of word bigrams
 is compared with that of every template whose size allows the threshold. For a Dice
 coefficient of ``t`` the smaller set must have at least ``t / (2 - t)`` of the larger
-one's size, so most templates are passed over by their size alone.
+one's size, so most templates are passed over by their size alone. Licenses of one family
+differ in a few words only, which Dice hardly notices: a version, ``affero``, ``neither``. So
+a unit must also have the telling words of the template, and none of its family's others.
 
 Units are the lines of a document, its paragraphs of several lines, and the document
 itself if it has several paragraphs; so a notice of one line, a license pasted into
@@ -32,6 +34,54 @@ MAX_TEMPLATE_WORDS = 200_000  # in all templates together
 _NO_WORD = "[^a-z0-9\\x{80}-\\x{10FFFF}]+"
 _BREAK = "\\n[ \\t\\r]*\\n"
 
+# Parts that public license notices of one family share.
+_BSD_START = (
+    "Redistribution and use in source and binary forms, with or without modification, are "
+    "permitted provided that the following conditions are met: 1. Redistributions of source "
+    "code must retain the above copyright notice, this list of conditions and the following "
+    "disclaimer. 2. Redistributions in binary form must reproduce the above copyright "
+    "notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. "
+)
+_BSD_NAMES = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used "
+    "to endorse or promote products derived from this software without specific prior written "
+    "permission. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS '
+    "OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+    "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+    "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, "
+    "EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF "
+    "SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR "
+    "TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS "
+    "SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_COMMONS = [
+    ("BY", "Attribution"),
+    ("BY-SA", "Attribution-ShareAlike"),
+    ("BY-NC", "Attribution-NonCommercial"),
+    ("BY-ND", "Attribution-NoDerivatives"),
+    ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+    ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+]
+
+
+def _gnu_notice(kind: str, version: str) -> str:
+    name = f"GNU {kind}General Public License"
+    return (
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        f"of the {name} as published by the Free Software Foundation, either version {version} of "
+        "the License, or (at your option) any later version. This program is distributed in the "
+        "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied "
+        "warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the "
+        f"{name} for more details. You should have received a copy of the {name} along with this "
+        "program. If not, see <https://www.gnu.org/licenses/>."
+    )
+
+
 # Public license notices and short license texts, by SPDX identifier.
 TEMPLATES: list[tuple[str, str]] = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -131,9 +181,51 @@ TEMPLATES: list[tuple[str, str]] = [
         "International License.",
     ),
     ("LicenseRef-all-rights-reserved", "All rights reserved."),
+    ("BSD-3-Clause", _BSD_START + _BSD_NAMES + _BSD_END),
+    ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0-or-later", _gnu_notice("", "2")),
+    ("AGPL-3.0-only", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0-or-later", _gnu_notice("Affero ", "3")),
+    ("LGPL-2.1-only", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1-or-later", _gnu_notice("Lesser ", "2.1").replace("program", "library").replace("Program", "Library")),
+    ("LGPL-3.0-only", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0-or-later", _gnu_notice("Lesser ", "3")),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the "
+     "Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    *(
+        row
+        for version, port in (("3.0", "Unported"), ("4.0", "International"))
+        for letters, name in _COMMONS
+        if (version, letters) not in {("4.0", "BY"), ("4.0", "BY-SA"), ("4.0", "BY-NC")}
+        for row in (
+            (f"CC-{letters}-{version}", f"Licensed under CC {letters} {version}."),
+            (f"CC-{letters}-{version}", "This work is licensed under a Creative Commons "
+             f"{name} {version} {port} License."),
+        )
+    ),
+]
+
+# Words that tell licenses of one family apart. A unit that matches a template must have
+# those of them that the template has, and none of its family that the template has not.
+_FAMILIES = [
+    ("GPL", ["affero", "lesser", "2", "3"]),
+    ("CC-", ["sa", "sharealike", "nc", "noncommercial", "nd", "noderivatives", "noderivs", "3", "4"]),
+    ("BSD-", ["neither"]),
+    ("Apache-", ["2"]),
+    ("MPL-", ["2"]),
+    ("EPL-", ["2"]),
 ]
 
 
+def telling_words(name: str, text: str) -> tuple[list[str], list[str]]:
+    """The words that a unit must have to be called by this license, and must not have."""
+    own = set(template_words(text))
+    for family, words_ in _FAMILIES:
+        if family in name:
+            return [w for w in words_ if w in own], [w for w in words_ if w not in own]
+    return [], []
+
+
 def template_words(text: str) -> list[str]:
     return re.sub("[^a-z0-9\x80-\U0010ffff]+", " ", text.lower()).split()
 
@@ -158,8 +250,15 @@ def _template_array(templates: list[tuple[str, str]], threshold: float) -> Colum
         bigrams = template_bigrams(text)
         low, high = size_range(len(bigrams), threshold)
         # a margin of one, since the threshold itself decides afterwards
-        rows.append({"k": k, "name": name, "b": bigrams, "low": max(1, low - 1), "high": high + 1})
-    kind = "array<struct<k:int,name:string,b:array<string>,low:int,high:int>>"
+        must, not_ = telling_words(name, text)
+        rows.append(
+            {"k": k, "name": name, "b": bigrams, "low": max(1, low - 1), "high": high + 1}
+            | {"must": must, "not": not_}
+        )
+    kind = (
+        "array<struct<k:int,name:string,b:array<string>,low:int,high:int,"
+        "must:array<string>,not:array<string>>>"
+    )
     return F.from_json(F.lit(json.dumps(rows)), kind)
 
 
@@ -181,8 +280,12 @@ def bigrams(own: Column) -> Column:
 def _matches(unit: Column, templates: Column, threshold: float) -> Column:
     """``array<struct<template, license, n_unit, n_template, n_shared>>`` of a unit."""
 
-    def compare(pairs: Column) -> Column:
+    def compare(own: Column, pairs: Column) -> Column:
         n = F.size(pairs)
+
+        def tells(t: Column) -> Column:
+            return (F.size(F.array_except(t["must"], own)) == 0) & ~F.arrays_overlap(t["not"], own)
+
         fitting = F.filter(templates, lambda t: (n >= t["low"]) & (n <= t["high"]))
         compared = F.transform(
             fitting,
@@ -192,15 +295,19 @@ def _matches(unit: Column, templates: Column, threshold: float) -> Column:
                 n.alias("n_unit"),
                 F.size(t["b"]).alias("n_template"),
                 F.size(F.array_intersect(pairs, t["b"])).alias("n_shared"),
+                t["must"].alias("must"),
+                t["not"].alias("not"),
             ),
         )
         return F.filter(
             compared,
-            lambda m: F.lit(2.0) * m["n_shared"] / (m["n_unit"] + m["n_template"])
-            >= F.lit(threshold),
+            lambda m: (
+                F.lit(2.0) * m["n_shared"] / (m["n_unit"] + m["n_template"]) >= F.lit(threshold)
+            )
+            & tells(m),
         )
 
-    return let(words(unit), lambda own: let(bigrams(own), compare))
+    return let(words(unit), lambda own: let(bigrams(own), lambda pairs: compare(own, pairs)))
 
 
 def scan_licenses(
@@ -247,12 +354,17 @@ def license_query(docs: DataFrame) -> DataFrame:
 
 
 def license_sql() -> str:
+    def listed(values: list[str]) -> str:
+        return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]::VARCHAR[]"
+
     quoted = ", ".join(
-        f"({k}, '{name}', [" + ", ".join("'" + b.replace("'", "''") + "'" for b in template_bigrams(text)) + "])"
+        f"({k}, '{name}', {listed(template_bigrams(text))}, "
+        + ", ".join(map(listed, telling_words(name, text)))
+        + ")"
         for k, (name, text) in enumerate(TEMPLATES)
     )
     return f"""
-WITH templates(template, license, b) AS (VALUES {quoted}),
+WITH templates(template, license, b, must, must_not) AS (VALUES {quoted}),
 texts AS (
     SELECT row_number() OVER () AS r, doc_id, text,
            string_split_regex(text, '\\n[ \\t\\r]*\\n') AS parts
@@ -275,7 +387,7 @@ tokens AS (
     FROM units
 ),
 sets AS (
-    SELECT r, doc_id, unit, place,
+    SELECT r, doc_id, unit, place, w,
            list_distinct(list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1])) AS b
     FROM tokens WHERE len(w) > 1
 )
@@ -286,4 +398,5 @@ SELECT s.doc_id, s.unit, CAST(s.place AS INTEGER) AS place, t.template, t.licens
 FROM sets s JOIN templates t
 ON 3 * len(s.b) >= 2 * len(t.b) AND 3 * len(t.b) >= 2 * len(s.b)
 WHERE 2.0::DOUBLE * len(list_intersect(s.b, t.b)) / (len(s.b) + len(t.b)) >= 0.8::DOUBLE
+  AND list_has_all(s.w, t.must) AND NOT list_has_any(s.w, t.must_not)
 """

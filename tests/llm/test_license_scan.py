@@ -6,7 +6,14 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
-from termpeak.llm.license_scan import TEMPLATES, scan_licenses, size_range, template_bigrams
+from termpeak.llm.license_scan import (
+    TEMPLATES,
+    scan_licenses,
+    size_range,
+    telling_words,
+    template_bigrams,
+    template_words,
+)
 
 MIT = dict((n, t) for n, t in TEMPLATES if len(t) > 200)["MIT"]
 
@@ -29,6 +36,10 @@ def brute(rows, threshold=0.8):
             a = set(template_bigrams(own))
             for k, (name, template) in enumerate(TEMPLATES):
                 b = set(template_bigrams(template))
+                must, not_ = telling_words(name, template)
+                own_words = set(template_words(own))
+                if not set(must) <= own_words or set(not_) & own_words:
+                    continue
                 if a and 2 * len(a & b) / (len(a) + len(b)) >= threshold:
                     out.append((doc_id, unit, place, k, name, len(a), len(b), len(a & b)))
     return sorted(out, key=str)
@@ -68,3 +79,33 @@ def test_sizes_out_of_range_cannot_match(n, m, threshold):
 def test_too_many_templates(spark):
     with pytest.raises(ValueError):
         scan_licenses(spark.range(1).selectExpr("id doc_id", "'' text"), [("x", "a " * 200_001)])
+
+
+GNU = next(t for n, t in TEMPLATES if n == "GPL-3.0-or-later")
+BSD = dict(TEMPLATES)["BSD-3-Clause"]
+NAMED = [
+    ("This work is licensed under the GNU General Public License, version 2.", {"GPL-2.0-only"}),
+    ("This work is licensed under the GNU General Public License, version 3.", {"GPL-3.0-only"}),
+    (GNU, {"GPL-3.0-or-later"}),
+    (GNU.replace("General", "Affero General"), {"AGPL-3.0-or-later"}),
+    (GNU.replace("General", "Lesser General"), {"LGPL-3.0-or-later"}),
+    (GNU.replace("version 3", "version 2"), {"GPL-2.0-or-later"}),
+    (BSD, {"BSD-3-Clause"}),
+    (BSD.replace("the copyright holder nor", "the University nor"), {"BSD-3-Clause"}),
+    (dict(t for t in TEMPLATES if t[0] == "BSD-2-Clause")["BSD-2-Clause"], {"BSD-2-Clause"}),
+    ("Licensed under CC BY 3.0.", {"CC-BY-3.0"}),
+    ("Licensed under CC BY 4.0.", {"CC-BY-4.0"}),
+    ("This work is licensed under a Creative Commons Attribution 3.0 Unported License.", {"CC-BY-3.0"}),
+    ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License.", {"CC-BY-ND-4.0"}),
+    ("This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License.", {"CC-BY-NC-SA-4.0"}),
+    ("Licensed under CC BY-NC 4.0.", {"CC-BY-NC-4.0"}),
+    ("Licensed under CC BY 2.5.", set()),
+]
+
+
+def test_variants_get_their_own_name(spark):
+    docs = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(NAMED)], "doc_id long, text string")
+    named = {k: set() for k in range(len(NAMED))}
+    for row in scan_licenses(docs).collect():
+        named[row["doc_id"]].add(row["license"])
+    assert named == {k: names for k, (_, names) in enumerate(NAMED)}
