@@ -14,11 +14,18 @@ feature and class were observed together less how often the model expects them;
 sums over all training tokens, so tasks return sums and what is learnt does not depend
 on how the texts are dealt out. The first weights come from the observed counts alone:
 ``START`` times the log of how much likelier the class is with the feature than without,
-the counts smoothed by ``SMOOTH`` tokens of the class's share. Each of ``ROUNDS`` rounds then
-adds ``STEP`` times the log of observed to expected, smoothed alike, which is the gradient
-scaled by how much the expectation bends. Every training text has part in every sum.
-
-Scale. Sums have a fixed size; they travel in blocks and are added up as streams, in two
+the counts smoothed by ``SMOOTH`` tokens of the class's share. What is maximised is the
+likelihood of all training tokens under a Gaussian prior, which takes ``PRIOR`` / 2 times
+the squares of the weights (not of the bias) from its log. Each round adds ``STEP`` times
+the log of observed to expected, smoothed alike and by the prior, whose pull is on one
+side: the gradient, scaled by how much the expectation bends. A round that lowers the
+objective is taken back and made with half the step. Training goes on until a round gains
+less than ``TOLERANCE`` (natural logs, for each token); no number of rounds ends it.
+Every training text has part in every sum.
+
+Scale. Training texts are cut and hashed once for all rounds: each chunk's distinct
+(history, class) pairs are written to the shared folder, as a long and a count each, and
+the rounds read only these. Sums have a fixed size; they travel in blocks and are added up as streams, in two
 steps, so that no task gets a block from every other. Word counts are aggregated in each
 chunk before they are shuffled. Words with at least one in ``HEAD`` of all tokens reach
 every task, and there can be no more of them than ``HEAD``; so the join with the counts,
@@ -56,12 +63,14 @@ SUFFIXES = 32
 CLASSES = 1 + SINGLES + SUFFIXES
 ROWS = 1 << 14  # hashed features
 BLOCK = 256  # rows of weights that travel together
-ROUNDS = 1
 START = 0.45  # the four features of a token overlap in what they say
-STEP = 0.3
+STEP = 0.4
+PRIOR = 2.0  # tokens that pull a weight of one back to nought
+TOLERANCE = 0.002
 SMOOTH = 100.0
 BATCH = 4096  # tokens whose probabilities are held at a time
 CHUNK_BYTES = 4 << 20  # texts held as arrays at a time
+PIECE = 1 << 16  # pairs in a row of what the rounds read
 ADDERS = 16  # tasks that add up a block first
 _SHORT = 16  # segments up to this long are summed side by side
 _KINDS = 4  # of features, each with its share of the rows
@@ -183,8 +192,27 @@ def _chunk(model: Model, texts: list[str | None]) -> Chunk:
 _MIXERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)
 
 
-def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
-    """Sums of the features' weights, less the greatest of each token."""
+def packed(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct (history, class) pairs of a chunk as sorted longs, and how often they stand."""
+    share = ROWS // _KINDS
+    keys = np.zeros(len(chunk.classes), np.int64)
+    for k in range(_KINDS):
+        keys = keys * share + (chunk.features[:, k] - k * share)
+    return np.unique(keys * CLASSES + chunk.classes, return_counts=True)
+
+
+def unpacked(histories: np.ndarray) -> np.ndarray:
+    """The features of histories, which are the longs of :func:`packed` without the class."""
+    share = ROWS // _KINDS
+    features = np.empty((len(histories), _KINDS), np.int64)
+    for k in reversed(range(_KINDS)):
+        histories, own = np.divmod(histories, share)
+        features[:, k] = own + k * share
+    return features
+
+
+def _logits(weights: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of the features' weights, less the greatest of each token; and that."""
     logits = weights.take(features[:, 0], axis=0)
     part = np.empty_like(logits)
     for k in range(1, features.shape[1]):
@@ -197,7 +225,7 @@ def _logits(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
         width, half = half, (half + 1) // 2
         greatest = np.maximum(greatest[:, :half], greatest[:, width - half : width])
     logits -= greatest
-    return logits
+    return logits, greatest[:, 0]
 
 
 def _row_sums(values: np.ndarray) -> np.ndarray:
@@ -221,31 +249,49 @@ def _segment_sums(rows: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 def class_log_probabilities(weights: np.ndarray, features: np.ndarray) -> np.ndarray:
     """Natural logs of the classes' probabilities, one row for each token."""
-    logits = _logits(weights, features)
+    logits, _ = _logits(weights, features)
     return logits - np.log(_row_sums(np.exp(logits)))[:, None]
 
 
 def observed_sums(model: Model, chunk: Chunk, sums: np.ndarray) -> None:
     """Add how often each feature, and the bias, stands with each class."""
-    cells = (chunk.features * CLASSES + chunk.classes[:, None]).ravel()
-    sums[:ROWS] += np.bincount(cells, minlength=ROWS * CLASSES).reshape(ROWS, CLASSES)
-    sums[ROWS] += np.bincount(chunk.classes, minlength=CLASSES)
+    _add_observed(chunk.features, chunk.classes, None, sums)
 
 
 def expected_sums(model: Model, chunk: Chunk, sums: np.ndarray) -> None:
     """Add how often the model expects each feature, and the bias, with each class."""
-    for k in range(0, len(chunk.word), BATCH):
-        features = chunk.features[k : k + BATCH]
-        chance = _logits(model.weights, features)
+    _add_expected(model.weights, chunk.features, np.ones(len(chunk.word), np.int64), sums)
+
+
+def _add_observed(
+    features: np.ndarray, classes: np.ndarray, times: np.ndarray | None, sums: np.ndarray
+) -> None:
+    for k in range(_KINDS):
+        cells = features[:, k] * CLASSES + classes
+        sums[:ROWS] += np.bincount(cells, times, ROWS * CLASSES).reshape(ROWS, CLASSES)
+    sums[ROWS] += np.bincount(classes, times, CLASSES)
+
+
+def _add_expected(
+    weights: np.ndarray, features: np.ndarray, times: np.ndarray, sums: np.ndarray
+) -> float:
+    """Also returns the sum, over the tokens, of the logs the softmax divides by."""
+    logs = 0.0
+    for k in range(0, len(features), BATCH):
+        own, often = features[k : k + BATCH], times[k : k + BATCH]
+        chance, greatest = _logits(weights, own)
         np.exp(chance, out=chance)
-        chance *= (1 / _row_sums(chance))[:, None]
-        rows = features.ravel().astype(np.uint16)  # short ones are sorted by their digits
+        total = _row_sums(chance)
+        logs += float((often * (np.log(total) + greatest.astype(np.float64))).sum())
+        chance *= (often / total).astype(np.float32)[:, None]
+        rows = own.ravel().astype(np.uint16)  # short ones are sorted by their digits
         order = np.argsort(rows, kind="stable")
         ranked = rows[order]
         starts = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        total = _segment_sums(chance.take(order // features.shape[1], axis=0), starts)
-        sums[ranked[starts].astype(np.int64)] += total
+        found = _segment_sums(chance.take(order // own.shape[1], axis=0), starts)
+        sums[ranked[starts].astype(np.int64)] += found
         sums[ROWS] += chance.sum(0)
+    return logs
 
 
 def _word_counts(docs: DataFrame) -> DataFrame:
@@ -261,19 +307,57 @@ def _word_counts(docs: DataFrame) -> DataFrame:
     return pieces.groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def _summed(docs: DataFrame, shared: Broadcast, add: Callable) -> np.ndarray:
-    """The sums that ``add`` makes of all chunks of all texts, a row to a feature."""
+def _pairs_of(docs: DataFrame, shared: Broadcast) -> DataFrame:
+    """What training needs of all texts, written out: ``pairs`` as of :func:`packed`, ``times``."""
+
+    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for chunk in chunks_of(shared.value, chain.from_iterable(f["text"] for f in frames)):
+            pairs, times = packed(chunk)
+            times = times.astype(np.int32)
+            for k in range(0, len(pairs), PIECE):
+                own, often = pairs[k : k + PIECE], times[k : k + PIECE]
+                yield pd.DataFrame({"pairs": [own.tobytes()], "times": [often.tobytes()]})
+
+    path = f"{checkpoint_folder(docs.sparkSession)}/lm-pairs-{uuid4().hex}"
+    schema = "pairs binary, times binary"
+    found = docs.select("text").mapInPandas(cut, schema)
+    found.write.option("compression", "zstd").parquet(path)
+    return docs.sparkSession.read.schema(schema).parquet(path)
+
+
+def _add_pairs_observed(
+    weights: np.ndarray, pairs: np.ndarray, times: np.ndarray, sums: np.ndarray
+) -> float:
+    histories, classes = np.divmod(pairs, CLASSES)
+    _add_observed(unpacked(histories), classes, times, sums)
+    return 0.0
+
+
+def _add_pairs_expected(
+    weights: np.ndarray, pairs: np.ndarray, times: np.ndarray, sums: np.ndarray
+) -> float:
+    histories = pairs // CLASSES
+    starts = np.flatnonzero(np.append(True, histories[1:] != histories[:-1]))
+    often = np.add.reduceat(times.astype(np.int64), starts)
+    return _add_expected(weights, unpacked(histories[starts]), often, sums)
+
+
+def _summed(pairs: DataFrame, weights: np.ndarray, add: Callable) -> tuple[np.ndarray, float]:
+    """The sums that ``add`` makes of all pairs, a row to a feature, and of what it returns."""
+    shared = pairs.sparkSession.sparkContext.broadcast(weights)
 
     def collect(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = shared.value
         sums = np.zeros((ROWS + 1, CLASSES))
-        for chunk in chunks_of(model, chain.from_iterable(f["text"] for f in frames)):
-            add(model, chunk, sums)
+        more = 0.0
+        for frame in frames:
+            for own, often in frame[["pairs", "times"]].itertuples(index=False):
+                some = np.frombuffer(own, np.int64), np.frombuffer(often, np.int32)
+                more += add(shared.value, *some, sums)
         blocks = [k for k in range(0, ROWS + 1, BLOCK) if sums[k : k + BLOCK].any()]
-        if blocks:
-            yield pd.DataFrame(
-                {"block": blocks, "sums": [sums[k : k + BLOCK].tobytes() for k in blocks]}
-            )
+        found = {k: sums[k : k + BLOCK].tobytes() for k in blocks}
+        if found:
+            found[-1] = np.float64(more).tobytes()
+            yield pd.DataFrame({"block": list(found), "sums": list(found.values())})
 
     def together(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         found: dict[int, np.ndarray] = {}
@@ -285,15 +369,20 @@ def _summed(docs: DataFrame, shared: Broadcast, add: Callable) -> np.ndarray:
         yield pd.DataFrame(rows, columns=["block", "sums"])
 
     schema = "block int, sums binary"
-    parts = docs.select("text").mapInPandas(collect, schema)
+    parts = pairs.mapInPandas(collect, schema)
     salt = F.pmod(F.spark_partition_id(), F.lit(ADDERS))
     some = parts.withColumn("salt", salt).repartition("block", "salt")
     added = some.select("block", "sums").mapInPandas(together, schema)
-    out = np.zeros((ROWS + 1, CLASSES))
+    out, more = np.zeros((ROWS + 1, CLASSES)), 0.0
     for row in added.repartition("block").mapInPandas(together, schema).collect():
-        own = np.frombuffer(bytes(row["sums"])).reshape(-1, CLASSES)  # 8 MiB in all
-        out[row["block"] : row["block"] + len(own)] = own
-    return out
+        own = np.frombuffer(bytes(row["sums"]))
+        if row["block"] < 0:
+            more = float(own[0])
+        else:
+            own = own.reshape(-1, CLASSES)  # 8 MiB in all
+            out[row["block"] : row["block"] + len(own)] = own
+    shared.unpersist()
+    return out, more
 
 
 def first_weights(observed: np.ndarray) -> np.ndarray:
@@ -305,11 +394,48 @@ def first_weights(observed: np.ndarray) -> np.ndarray:
     return weights.astype(np.float32)
 
 
-def next_weights(weights: np.ndarray, observed: np.ndarray, expected: np.ndarray) -> np.ndarray:
-    """One step along the gradient, observed less expected, on the scale of logs."""
+def next_weights(
+    weights: np.ndarray,
+    observed: np.ndarray,
+    expected: np.ndarray,
+    step: float = STEP,
+    prior: float = 0.0,
+) -> np.ndarray:
+    """One step along the gradient, observed less expected and the prior, on the scale of logs."""
     shares = (observed[ROWS] + 0.5) / (observed[ROWS].sum() + 0.5 * CLASSES)
-    move = np.log((observed + SMOOTH * shares) / (expected + SMOOTH * shares))
-    return (weights + STEP * move).astype(np.float32)
+    pull = prior * weights.astype(np.float64)
+    pull[ROWS] = 0
+    both = SMOOTH * shares + prior  # as much as the pull bends, or the step would be too long
+    move = np.log(
+        (observed + both + np.maximum(-pull, 0)) / (expected + both + np.maximum(pull, 0))
+    )
+    return (weights + step * move).astype(np.float32)
+
+
+def objective(weights: np.ndarray, observed: np.ndarray, logs: float) -> float:
+    """Log likelihood of the training tokens' classes and the prior, for each token."""
+    plain = weights.astype(np.float64)
+    prior = PRIOR / 2 * np.square(plain[:ROWS]).sum()
+    return float(((observed * plain).sum() - logs - prior) / observed[ROWS].sum())
+
+
+def fitted(weights: np.ndarray, observed: np.ndarray, expect: Callable) -> np.ndarray:
+    """The weights after all rounds; ``expect`` returns the expected sums and logs of some."""
+    step = STEP
+    expected, logs = expect(weights)
+    best = objective(weights, observed, logs)
+    while True:
+        moved = next_weights(weights, observed, expected, step, PRIOR)
+        sums, logs = expect(moved)
+        value = objective(moved, observed, logs)
+        gain = value - best
+        if gain >= 0:
+            weights, expected, best = moved, sums, value
+        # a step that is too long says nothing of how far there is to go
+        if abs(gain) < TOLERANCE:
+            return weights
+        if gain < 0:
+            step /= 2
 
 
 def train(docs: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame]:
@@ -336,19 +462,14 @@ def train(docs: DataFrame, doc_id: str = "doc_id") -> tuple[Model, DataFrame]:
     model = Model(weights, singles, head_counts, log, totals[0], totals[1])
     if not totals[0]:
         return model, counts
-    context = docs.sparkSession.sparkContext
-
-    def sums(add: Callable) -> np.ndarray:
-        shared = context.broadcast(model)
-        found = _summed(learning, shared, add)
-        shared.unpersist()
-        return found
-
-    observed = sums(observed_sums)
-    model = replace(model, weights=first_weights(observed))
-    for _ in range(ROUNDS):
-        model = replace(model, weights=next_weights(model.weights, observed, sums(expected_sums)))
-    return model, counts
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    pairs = _pairs_of(learning, shared)
+    observed, _ = _summed(pairs, weights, _add_pairs_observed)
+    shared.unpersist()
+    weights = fitted(
+        first_weights(observed), observed, lambda w: _summed(pairs, w, _add_pairs_expected)
+    )
+    return replace(model, weights=weights), counts
 
 
 _PARTIAL = (
@@ -378,7 +499,7 @@ def _partial_scores(shared: Broadcast, text: Column) -> Column:
 def _chunk_rows(model: Model, chunk: Chunk) -> Iterator[tuple]:
     logs = np.empty(len(chunk.word))
     for k in range(0, len(chunk.word), BATCH):
-        rows = _logits(model.weights, chunk.features[k : k + BATCH])
+        rows, _ = _logits(model.weights, chunk.features[k : k + BATCH])
         own = rows[np.arange(len(rows)), chunk.classes[k : k + BATCH]]
         logs[k : k + BATCH] = own - np.log(_row_sums(np.exp(rows, out=rows)))
     logs /= math.log(10)

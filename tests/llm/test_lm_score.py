@@ -12,19 +12,26 @@ import pytest
 from termpeak.llm.lm_score import (
     CLASSES,
     END,
+    PRIOR,
     ROWS,
     SINGLES,
     SUFFIXES,
+    TOLERANCE,
     Model,
+    _add_pairs_expected,
+    _add_pairs_observed,
     _segment_sums,
     chunks_of,
     class_log_probabilities,
     expected_sums,
     first_weights,
+    fitted,
     lm_query,
     next_weights,
     numbered,
+    objective,
     observed_sums,
+    packed,
     tokens_of,
     train,
 )
@@ -145,6 +152,52 @@ def test_rounds_raise_the_likelihood():
     assert found == sorted(found) and found[-1] > -0.1 and SINGLES + SUFFIXES + 1 == CLASSES
 
 
+def some_model(texts):
+    singles = {END: 0, b"a": 1, b"b": 2}
+    model = Model(np.zeros((ROWS + 1, CLASSES), np.float32), singles, {}, np.zeros(CLASSES), 0, 0)
+    (chunk,) = chunks_of(model, texts)
+    return model, chunk
+
+
+def test_pairs_give_the_sums_of_their_tokens():
+    model, chunk = some_model(["a b c a a b d " * 30, "b", "", "c c c c a b c d e"])
+    pairs, times = packed(chunk)
+    assert times.sum() == len(chunk.word) > len(pairs)
+    draw = np.random.default_rng(1)
+    weights = draw.normal(size=(ROWS + 1, CLASSES)).astype(np.float32)
+    for whole, add in ((observed_sums, _add_pairs_observed), (expected_sums, _add_pairs_expected)):
+        sums = np.zeros((ROWS + 1, CLASSES))
+        logs = add(weights, pairs, times, sums)
+        expected = sums_of(replace(model, weights=weights), chunk, whole)
+        assert np.allclose(sums, expected, atol=1e-3)
+    observed = sums_of(model, chunk, observed_sums)
+    prior = PRIOR / 2 * np.square(weights[:ROWS].astype(np.float64)).sum() / len(chunk.word)
+    found = objective(weights, observed, logs)
+    assert found == pytest.approx(likelihood(weights, chunk) - prior, rel=1e-4)
+
+
+def test_training_goes_on_until_nothing_is_gained():
+    draw = np.random.default_rng(2)
+    letters = draw.integers(0, 26, 6000) * draw.integers(0, 2, 6000)
+    model, chunk = some_model([" ".join(f"{'abcdefghijklmnopqrstuvwxyz'[k]}" for k in letters)])
+    observed = sums_of(model, chunk, observed_sums)
+    pairs, times = packed(chunk)
+    seen = []
+
+    def expect(weights):
+        sums = np.zeros((ROWS + 1, CLASSES))
+        logs = _add_pairs_expected(weights, pairs, times, sums)
+        seen.append(objective(weights, observed, logs))
+        return sums, logs
+
+    weights = fitted(first_weights(observed), observed, expect)
+    assert len(seen) > 2  # more than one round
+    expected, logs = expect(weights)
+    more = next_weights(weights, observed, expected, prior=PRIOR)
+    expect(more)
+    assert seen[-2] >= max(seen[:-2]) - TOLERANCE and abs(seen[-1] - seen[-2]) < TOLERANCE
+
+
 def test_the_score_does_not_depend_on_partitions(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     found = {}
