@@ -53,18 +53,24 @@ def term_counts(content: Column, piece: int = PIECE, batch: int = BATCH) -> Colu
         return let(F.sort_array(words(text)), _runs)
 
     def added(so_far: Column, some: Column) -> Column:
-        return _sums(F.concat(so_far, F.flatten(F.transform(some, counts))))
+        first = (F.size(so_far) == 0) & (F.size(some) == 1)  # all of a text of one piece
+        every = F.concat(so_far, F.flatten(some))
+        return F.when(first, F.get(some, F.lit(0))).otherwise(_sums(every))
 
     nothing = F.array().cast("array<struct<word:string,n:bigint>>")
-    long_ = let(
-        text_pieces(content, piece),
+    whole = F.octet_length(content) <= piece
+    counted = let(
+        F.when(whole, F.array(content)).otherwise(text_pieces(content, piece)),
         lambda pieces: F.aggregate(
             F.sequence(F.lit(1), F.size(pieces), F.lit(batch)),
             nothing,
-            lambda so_far, k: added(so_far, F.slice(pieces, k, F.lit(batch))),
+            lambda so_far, k: let(
+                F.transform(F.slice(pieces, k, F.lit(batch)), counts),
+                lambda some: added(so_far, some),
+            ),
         ),
     )
-    return F.when(F.octet_length(content) > piece, long_).otherwise(counts(content))
+    return F.when(content.isNotNull(), counted)
 
 
 def text_pieces(content: Column, piece: int = PIECE) -> Column:
@@ -141,6 +147,8 @@ def _sums(counted: Column) -> Column:
             ),
         )
 
-    return F.when(F.size(counted) == 0, counted).otherwise(
-        let(F.sort_array(counted), summed)
+    # not sort_array: only texts of several pieces come here, a text's words do not
+    return let(
+        F.array_sort(counted),
+        lambda ordered: F.when(F.size(ordered) == 0, ordered).otherwise(summed(ordered)),
     )

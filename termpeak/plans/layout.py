@@ -48,6 +48,16 @@ def stored_bytes(spark: SparkSession, paths: str | list[str]) -> int:
     return files.load(paths).agg(F.sum("length")).first()[0] or 0
 
 
+def scan_pieces(spark: SparkSession, path: str, piece: int = 16 * MIB) -> int:
+    """How many partitions to deal a stored table out over: one to a core or more.
+
+    A map task sorts a row for each distinct word of each of its documents, which takes
+    about 13 times the stored bytes. So the bytes of a partition are bounded, not the
+    number of partitions, and a task's memory does not grow with the table.
+    """
+    return max(spark.sparkContext.defaultParallelism, ceil(stored_bytes(spark, path) / piece))
+
+
 def apply_settings(
     spark: SparkSession, settings: dict[str, str], given: dict[str, str | None] | None = None
 ) -> dict[str, str]:

@@ -19,6 +19,7 @@ from termpeak.plans.layout import (
     MIB,
     apply_settings,
     cluster_settings,
+    scan_pieces,
     scratch_path,
     stored_bytes,
 )
@@ -160,3 +161,13 @@ def test_read_ndjson_plans_one_scan(spark, tmp_path):
     plan = plan_of(peak_documents(read_ndjson(spark, str(tmp_path / "in.json"))))
     assert plan.count("FileScan text") == 1
     assert plan.count("Exchange") == 1
+
+
+def test_a_table_is_dealt_out_by_its_bytes(spark, stored, tmp_path):
+    path = str(tmp_path / "docs")
+    cores = spark.sparkContext.defaultParallelism
+    size = stored_bytes(spark, path)
+    assert scan_pieces(spark, path) == cores
+    assert scan_pieces(spark, path, piece=size // 40) in (40, 41)
+    stored.union(stored).write.mode("append").parquet(path)
+    assert scan_pieces(spark, path, piece=size // 40) > 80
