@@ -21,9 +21,9 @@ def load_corpus(spark: SparkSession, path: str, hidden: str = "fail") -> DataFra
     Spark's readers pass over files and directories whose names begin with ``_`` or
     ``.``. If there are any, this raises a ``ValueError`` that names some of them;
     ``hidden="skip"`` leaves them out instead, and ``hidden="read"`` reads them too:
-    the tree is listed by tasks, and what Spark passes over is read by tasks with
-    Arrow's file systems (local, HDFS, S3, GCS). That is the only mode that runs Python
-    on the executors, for those files alone.
+    the whole tree is listed and read by tasks with Arrow's file systems (local, HDFS,
+    S3, GCS), and no list of it comes to the driver. That is the only mode that runs
+    Python on the executors.
 
     Every file is a seek and an open. Read such a tree once, write it with
     :func:`~termpeak.sources.ndjson.write_ndjson` or as Parquet, and query that;
@@ -32,28 +32,23 @@ def load_corpus(spark: SparkSession, path: str, hidden: str = "fail") -> DataFra
     """
     if hidden not in HIDDEN:
         raise ValueError(f"hidden={hidden!r}; one of {', '.join(map(repr, HIDDEN))}")
+    if hidden == "read":
+        root = _resolved(spark, path)[1].toUri().getPath().rstrip("/")
+        files = tree_files(spark, path).where("size > 0")
+        return tree_contents(spark, path, files).select(
+            "filename",
+            line_text(F.col("value").cast("string")).alias("content"),
+            _directory(F.col("filename"), root).alias("label"),
+        )
     root, passed_over = _look_at(spark, path)
     if passed_over and hidden == "fail":
         raise ValueError(f"not readable by Spark, as hidden: {', '.join(passed_over)}")
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True)
-    shown = files.select(
+    return files.select(
         _below(root).alias("filename"),
         line_text(F.col("value")).alias("content"),
         F.element_at(F.split(_full_path(), "/"), -2).alias("label"),
     )
-    if not passed_over or hidden == "skip":
-        return shown
-    # what Spark lists, without the contents, against what there is
-    lister = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    listed = lister.load(path).select(_below(root).alias("filename"))
-    others = tree_files(spark, path).where("size > 0").join(listed, "filename", "left_anti")
-    return shown.unionAll(
-        tree_contents(spark, path, others).select(
-            "filename",
-            line_text(F.col("value").cast("string")).alias("content"),
-            _directory(F.col("filename"), root).alias("label"),
-        )
-    )
 
 
 def _full_path() -> Column:
@@ -75,11 +70,17 @@ def _directory(filename: Column, root: str) -> Column:
     return F.when(F.contains(filename, F.lit("/")), name).otherwise(F.lit(root.split("/")[-1]))
 
 
+def _resolved(spark: SparkSession, path: str):
+    """The directory's file system and its path there."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return system, system.resolvePath(place)
+
+
 def _look_at(spark: SparkSession, path: str, most: int = 5) -> tuple[str, list[str]]:
     """The directory's plain path, and some hidden names at any depth below it."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    system = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    root = system.resolvePath(hadoop.Path(path))
+    system, root = _resolved(spark, path)
     special = "\\*?[]{}"
     literal = "".join(f"\\{c}" if c in special else c for c in root.toString())
     found: list[str] = []

@@ -22,6 +22,7 @@ from termpeak import (
 )
 from termpeak.plans import peaks as plan
 from termpeak.sinks.publish import published
+from termpeak.sources import trees
 
 NAMES = ["g/1", "g/_2", "g/.3", "_h/4", ".i/j/5", "top", "_top", "g/a b+c%41é", "k=_/_x=1"]
 
@@ -188,3 +189,25 @@ def test_a_laid_out_table_is_read_where_it_lies(spark, docs_of, tmp_path):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert sorted(tuple(r) for r in docs.collect()) == sorted(rows)
+
+
+def test_a_tree_is_listed_by_tasks_alone_and_in_parts(spark, tmp_path):
+    """Spark's readers would list every file in the driver."""
+    files = {f"g/{mark}{k}": b"x" * k for k in range(30) for mark in ("", "_", ".")}
+    root = plain_tree(tmp_path / "t", files)
+    docs = load_corpus(spark, root, hidden="read")
+    assert not [f for f in docs.inputFiles() if f.startswith("file:" + root)]
+    assert {r.filename: r.content for r in docs.collect()} == {
+        n: c.decode() for n, c in files.items() if c
+    }
+    system, base = trees.open_tree(root)
+    found = trees._entries(system, f"{base}/g")
+    assert not isinstance(found, list) and next(found)[0] in {n[2:] for n in files}
+    assert len(list(found)) == len(files) - 1
+
+
+def test_files_are_read_in_rows_of_bounded_size(spark, tmp_path):
+    files = {f"_{k}": bytes([65 + k % 26]) * (1 << 20) for k in range(12)} | {"_l": b"z" * (9 << 20)}
+    root = plain_tree(tmp_path / "t", files)
+    got = {r.filename: (len(r.content), r.content[0]) for r in load_corpus(spark, root, "read").collect()}
+    assert got == {n: (len(c), chr(c[0])) for n, c in files.items()}
