@@ -6,7 +6,7 @@ import posixpath
 from collections.abc import Iterator
 from uuid import uuid4
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,23 +41,25 @@ def write_corpus(docs: DataFrame, path: str) -> None:
     with published(spark, path) as (staged,):
         root = tree_root(spark, staged)
 
-        def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             system, base = open_tree(root)
             made = set()
-            for frame in frames:
-                for name, content in zip(frame["filename"], frame["content"], strict=True):
-                    target = posixpath.join(base, name)
+            for batch in batches:
+                # value by value, not as a list of all texts beside the batch
+                for name, content in zip(*batch.columns, strict=True):
+                    target = posixpath.join(base, name.as_py())
                     parent = posixpath.dirname(target)
                     if parent not in made:
                         system.create_dir(parent, recursive=True)
                         made.add(parent)
                     own = posixpath.join(parent, f".{uuid4().hex}")
                     with system.open_output_stream(own) as stream:
-                        stream.write((content or "").encode("utf-8", "surrogatepass"))
+                        stream.write(content.as_py() or b"")
                     system.move(own, target)
-                yield pd.DataFrame({"files": [len(frame)]})
+                yield pa.RecordBatch.from_pydict({"files": [batch.num_rows]})
 
-        made = named.select("filename", "content").mapInPandas(write, "files long")
+        content = F.col("content").cast("string").cast("binary")
+        made = named.select("filename", content.alias("content")).mapInArrow(write, "files long")
         made.agg(F.sum("files")).collect()
         system, base = open_tree(root)
         system.create_dir(base, recursive=True)  # a tree without documents
