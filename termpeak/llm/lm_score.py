@@ -64,8 +64,8 @@ CLASSES = 1 + SINGLES + SUFFIXES
 ROWS = 1 << 14  # hashed features
 BLOCK = 256  # rows of weights that travel together
 START = 0.45  # the four features of a token overlap in what they say
-STEP = 0.4
-PRIOR = 2.0  # tokens that pull a weight of one back to nought
+STEP = 0.35
+PRIOR = 4.0  # tokens that pull a weight of one back to nought
 TOLERANCE = 0.002
 SMOOTH = 100.0
 BATCH = 4096  # tokens whose probabilities are held at a time
