@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import LOWER, written
+from termpeak.llm.common import LOWER, small_batches, written
 
 LEAST = 10
 LONGEST = 3
@@ -50,9 +50,9 @@ TOP = 2000
 SCALE = 1_000_000
 PIECES = 8
 PARTS = 32  # of a language, that are ranked by themselves first
-CHUNK_BYTES = 12 << 20  # text of one language that is counted at a time
+CHUNK_BYTES = 4 << 20  # text of one language that is counted at a time
 HELD_BYTES = 4 * CHUNK_BYTES  # of all languages that a task holds back
-BUCKET_BYTES = 8 << 20  # text whose stripes share a bucket
+BUCKET_BYTES = 4 << 20  # text whose stripes share a bucket
 MAP_BITS = 1 << 29  # 64 MiB
 
 # What ends a piece, and what parts words within one.
@@ -340,7 +340,8 @@ def phrase_counts(
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     buckets = max(1, ceil(size / BUCKET_BYTES))
 
-    first = written(merge_stripes(stripes(texts, 1, buckets), 1, least), "stripes-1")
+    with small_batches(spark):
+        first = written(merge_stripes(stripes(texts, 1, buckets), 1, least), "stripes-1")
     words = first.where("length = 1")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     sums = words.groupBy("lang", "phrase", "length").agg(F.sum("n").alias("n"))
@@ -350,7 +351,8 @@ def phrase_counts(
     for length in range(2, longest):
         known = frequent_map(spark, level)
         merged = merge_stripes(stripes(texts, length, buckets, known), length, least)
-        level = written(merged, f"stripes-{length}")
+        with small_batches(spark):
+            level = written(merged, f"stripes-{length}")
         counts = counts.unionAll(level)
     return counts, totals
 

@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 from pathlib import Path
 
@@ -154,3 +155,15 @@ def test_equals_its_sql(spark, sf_dir):
     context.sql(f"CREATE VIEW documents AS SELECT * FROM '{Path(sf_dir) / 'documents.parquet'}'")
     expected = context.sql(f"SELECT {', '.join(COLUMNS)} FROM ({COLLOCATION_SQL})").fetchall()
     assert answer(collocation_query(docs)) == sorted(expected)
+
+
+def test_a_full_chunk_is_counted_in_little_memory():
+    """A task holds this beside its batch, and an executor has one for each core."""
+    numbers = random.Random(5).choices(range(10_000, 30_000), k=module.CHUNK_BYTES // 10)
+    text = b" ".join(b"word%d" % k for k in numbers)
+    tracemalloc.start()
+    try:
+        assert sum(1 for _ in chunk_stripes("en", text, 1, 8, None)) == 8
+        assert tracemalloc.get_traced_memory()[1] + module.HELD_BYTES < 100 << 20
+    finally:
+        tracemalloc.stop()
