@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import checkpointed
+from termpeak.llm.common import checkpointed, small_batches, written
 
 ORDER = 3
 DECAY = 0.6
@@ -414,8 +414,8 @@ def text_margin(model: Model, text: Column) -> Column:
         cache: dict[str, float] = {}
         for texts in batches:
             parts = [
-                shared.value.text_margins(texts.iloc[k : k + 500], cache)
-                for k in range(0, len(texts), 500)
+                shared.value.text_margins(texts.iloc[k : k + _TEXTS], cache)
+                for k in range(0, len(texts), _TEXTS)
             ]
             yield pd.Series(np.concatenate(parts) if parts else np.empty(0))
 
@@ -431,9 +431,10 @@ def score(model: Model | None, text: str = "text") -> Column:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the documents whose score is 0.5 or more."""
-    model = train(docs, labels)
-    return docs.where(score(model) < 0.5)
+    """``docs`` without the documents whose score is 0.5 or more; written and read again."""
+    with small_batches(docs.sparkSession):
+        model = train(docs, labels)
+        return written(docs.where(score(model) < 0.5), "not-toxic")
 
 
 def toxicity_query(docs: DataFrame, labels: DataFrame) -> DataFrame:

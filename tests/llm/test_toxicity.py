@@ -6,6 +6,8 @@ import math
 import numpy as np
 import pytest
 
+from termpeak.llm import toxicity
+from termpeak.llm.common import small_batches
 from termpeak.llm.toxicity import (
     DECAY,
     LONGEST,
@@ -96,6 +98,20 @@ def test_stage_drops_the_toxic(spark, tables):
     assert 4 not in ids and {1, 2, 3, 1000, 1001} <= ids
 
 
+def test_stage_scores_in_small_batches(spark, tables, monkeypatch):
+    """Not when its result is read, with batches as the session has them by then."""
+    sizes = []
+
+    def noted(session):
+        sizes.append(True)
+        return small_batches(session)
+
+    monkeypatch.setattr(toxicity, "small_batches", noted)
+    kept = drop_toxic(*tables)
+    assert sizes == [True]
+    assert "Python" not in kept._jdf.queryExecution().toString()
+
+
 def test_without_labels_nothing_is_rejected(spark, tables):
     docs, labels = tables
     for none in (labels.limit(0), labels.where("toxic = 0")):
