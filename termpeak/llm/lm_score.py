@@ -54,7 +54,14 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import LOWER, checkpoint_folder, checkpointed, encoded, lower_words
+from termpeak.llm.common import (
+    LOWER,
+    checkpoint_folder,
+    checkpointed,
+    encoded,
+    lower_words,
+    shuffles_released,
+)
 
 END = b""  # no word is empty
 HEAD = 500_000  # words that can have one token in so many, or more
@@ -373,8 +380,11 @@ def _summed(pairs: DataFrame, weights: np.ndarray, add: Callable) -> tuple[np.nd
     salt = F.pmod(F.spark_partition_id(), F.lit(ADDERS))
     some = parts.withColumn("salt", salt).repartition("block", "salt")
     added = some.select("block", "sums").mapInPandas(together, schema)
+    # every round shuffles as much again, and no round reads what another one shuffled
+    with shuffles_released(pairs.sparkSession):
+        rows = added.repartition("block").mapInPandas(together, schema).collect()
     out, more = np.zeros((ROWS + 1, CLASSES)), 0.0
-    for row in added.repartition("block").mapInPandas(together, schema).collect():
+    for row in rows:
         own = np.frombuffer(bytes(row["sums"]))
         if row["block"] < 0:
             more = float(own[0])

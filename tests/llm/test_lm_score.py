@@ -5,6 +5,7 @@ import math
 import re
 import zlib
 from dataclasses import replace
+from time import monotonic, sleep
 
 import numpy as np
 import pytest
@@ -21,6 +22,7 @@ from termpeak.llm.lm_score import (
     _add_pairs_expected,
     _add_pairs_observed,
     _segment_sums,
+    _summed,
     chunks_of,
     class_log_probabilities,
     expected_sums,
@@ -246,3 +248,25 @@ def test_nothing_to_learn_from(spark):
     (row,) = lm_query(docs).collect()
     assert (row["n_tokens"], row["n_known"], row["train_tokens"], row["base_score"]) == (3, 0, 0, 0.0)
     assert math.isfinite(row["score"]) and row["score"] < 0
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    names = [files.apply(k).getName() for k in range(files.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_a_round_leaves_no_shuffle_files(spark):
+    model, chunk = some_model(["a b c a a b d " * 30, "c c c c a b c d e"])
+    pairs, times = packed(chunk)
+    rows = [(pairs.tobytes(), times.astype(np.int32).tobytes())] * 4
+    frame = spark.createDataFrame(rows, "pairs binary, times binary")
+    before = shuffle_files(spark)
+    for _ in range(2):
+        sums, _ = _summed(frame, model.weights, _add_pairs_observed)
+        assert sums[ROWS].sum() == 4 * times.sum()
+    until = monotonic() + 20
+    while shuffle_files(spark) - before and monotonic() < until:
+        sleep(0.2)
+    assert not shuffle_files(spark) - before
