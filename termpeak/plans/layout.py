@@ -5,12 +5,16 @@ from __future__ import annotations
 from math import ceil
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIB = 1024 * 1024
 GIB = 1024 * MIB
 
+# Spark's bound (spark.shuffle.sort.bypassMergeThreshold) on the partitions of a shuffle
+# that a task writes straight to files; for more of them it holds its rows and sorts them.
+STREAMED = 200
+
 
 def cluster_settings(
     text_bytes: int, cores: int, shuffled_share: float = 0.5
@@ -53,9 +57,24 @@ def scan_pieces(spark: SparkSession, path: str, piece: int = 16 * MIB) -> int:
 
     A map task sorts a row for each distinct word of each of its documents, which takes
     about 13 times the stored bytes. So the bytes of a partition are bounded, not the
-    number of partitions, and a task's memory does not grow with the table.
+    number of partitions, and a task's memory does not grow with the table. Pieces grow
+    to four times ``piece`` before there are more than can be dealt out without a sort.
+    """
+    size = stored_bytes(spark, path)
+    pieces = min(ceil(size / piece), max(STREAMED, ceil(size / (4 * piece))))
+    return max(spark.sparkContext.defaultParallelism, pieces)
+
+
+def dealt_out(rows: DataFrame, pieces: int) -> DataFrame:
+    """The rows of a Parquet table, over so many partitions.
+
+    They are dealt out by where they are stored, which no two rows share, whatever they
+    hold. Dealing them out in turn instead (``repartition(n)``) has every scan task sort
+    its rows, whole texts, before: so that a retry deals alike. A scan task reads at least
+    one row group, and its memory would grow with it.
     """
-    return max(spark.sparkContext.defaultParallelism, ceil(stored_bytes(spark, path) / piece))
+    place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+    return rows.withColumn("place", place).repartition(pieces, "place").drop("place")
 
 
 def apply_settings(

@@ -6,6 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import _documents
 from termpeak import (
     decode_documents,
     peak_documents,
@@ -17,6 +18,7 @@ from termpeak import (
 from termpeak.plans.layout import (
     GIB,
     MIB,
+    STREAMED,
     apply_settings,
     cluster_settings,
     scan_pieces,
@@ -171,3 +173,26 @@ def test_a_table_is_dealt_out_by_its_bytes(spark, stored, tmp_path):
     assert scan_pieces(spark, path, piece=size // 40) in (40, 41)
     stored.union(stored).write.mode("append").parquet(path)
     assert scan_pieces(spark, path, piece=size // 40) > 80
+
+
+def test_a_table_is_dealt_out_without_sorting_its_texts(spark, tmp_path):
+    """Equal rows too are spread, and a scan task holds no rows of what it deals out."""
+    path = str(tmp_path / "documents.parquet")
+    spark.range(0, 4000, 1, 1).select(
+        F.lit(7).cast("long").alias("doc_id"), F.lit("the same text").alias("text")
+    ).write.parquet(path)
+    docs = _documents(spark, str(tmp_path))
+    plan = plan_of(docs)
+    assert "RoundRobinPartitioning" not in plan
+    assert plan.count("Exchange hashpartitioning(place") == 1
+    assert "ReadSchema: struct<doc_id:bigint,text:string,_tmp_metadata_row_index:bigint>" in plan
+    pieces = spark.sparkContext.defaultParallelism
+    found = docs.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in found) == 4000 and len(found) == pieces
+    assert max(r["count"] for r in found) < 1.5 * 4000 / pieces
+
+
+def test_pieces_grow_before_dealing_out_sorts(spark, stored, tmp_path):
+    size = stored_bytes(spark, str(tmp_path / "docs"))
+    pieces = [scan_pieces(spark, str(tmp_path / "docs"), size // n) for n in (100, 400, 4000)]
+    assert 100 <= pieces[0] <= 101 and pieces[1] == STREAMED and 1000 <= pieces[2] <= 1500
