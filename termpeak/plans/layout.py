@@ -52,15 +52,27 @@ def stored_bytes(spark: SparkSession, paths: str | list[str]) -> int:
     return files.load(paths).agg(F.sum("length")).first()[0] or 0
 
 
-def scan_pieces(spark: SparkSession, path: str, piece: int = 16 * MIB) -> int:
+def text_bytes(spark: SparkSession, path: str, content: str) -> int:
+    """Bytes of a column's texts, as they are once read."""
+    texts = spark.read.parquet(path).select(F.col(content).alias("content"))
+    return texts.agg(F.sum(F.octet_length("content"))).first()[0] or 0
+
+
+def scan_pieces(
+    spark: SparkSession, path: str, piece: int = 16 * MIB, content: str | None = None
+) -> int:
     """How many partitions to deal a stored table out over: one to a core or more.
 
     A map task sorts a row for each distinct word of each of its documents, which takes
-    about 13 times the stored bytes. So the bytes of a partition are bounded, not the
-    number of partitions, and a task's memory does not grow with the table. Pieces grow
+    about 13 times the bytes of the texts. So the bytes of a partition are bounded, not
+    the number of partitions, and a task's memory does not grow with the table. Texts
+    that are alike are stored in far fewer bytes than they have; with the name of their
+    column, ``content``, theirs count too, for which they are read once more. Pieces grow
     to four times ``piece`` before there are more than can be dealt out without a sort.
     """
     size = stored_bytes(spark, path)
+    if content is not None:
+        size = max(size, text_bytes(spark, path, content))
     pieces = min(ceil(size / piece), max(STREAMED, ceil(size / (4 * piece))))
     return max(spark.sparkContext.defaultParallelism, pieces)
 

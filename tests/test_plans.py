@@ -6,7 +6,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from __spark_entry__ import _documents
+from __spark_entry__ import _documents, _through_table
 from termpeak import (
     decode_documents,
     peak_documents,
@@ -24,6 +24,7 @@ from termpeak.plans.layout import (
     scan_pieces,
     scratch_path,
     stored_bytes,
+    text_bytes,
 )
 
 
@@ -175,6 +176,25 @@ def test_a_table_is_dealt_out_by_its_bytes(spark, stored, tmp_path):
     assert scan_pieces(spark, path, piece=size // 40) > 80
 
 
+def test_a_table_is_dealt_out_by_its_texts_where_they_are_stored_in_less(spark, tmp_path):
+    """Equal texts are stored once; a task still counts the words of each."""
+    path = str(tmp_path / "documents.parquet")
+    text = F.repeat(F.lit("one two "), 256 * 1024)  # 2 MiB
+    rows = spark.range(0, 200, 1, 1).withColumn("text", F.when(F.col("id") > 0, text))
+    rows.withColumnRenamed("id", "doc_id").write.parquet(path)
+    assert stored_bytes(spark, path) < 100 * MIB < text_bytes(spark, path, "text")
+    assert scan_pieces(spark, path, content="text") == max(
+        spark.sparkContext.defaultParallelism, 25
+    )
+    assert _documents(spark, str(tmp_path)).rdd.getNumPartitions() >= 25
+    table = _through_table(spark, str(tmp_path))
+    assert plan_of(table).count("Exchange hashpartitioning(place") == 1
+    assert [tuple(r) for r in table.orderBy("word").collect()] == [
+        ("one", "1", 256 * 1024),
+        ("two", "1", 256 * 1024),
+    ]
+
+
 def test_a_table_is_dealt_out_without_sorting_its_texts(spark, tmp_path):
     """Equal rows too are spread, and a scan task holds no rows of what it deals out."""
     path = str(tmp_path / "documents.parquet")
