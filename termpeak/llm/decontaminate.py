@@ -38,6 +38,7 @@ from termpeak.llm.common import (
     checkpointed,
     encoded,
     restored,
+    small_batches,
     written,
 )
 
@@ -332,13 +333,21 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, cut: bool = False) -> D
     """``docs`` without contaminated documents; the others are left as they are.
 
     With ``cut``, the others lose the words of every hit in ``text``, until none is left,
-    so that no benchmark text stays in documents that have too little of it to go.
+    so that no benchmark text stays in documents that have too little of it to go. That
+    result is written and read again, as texts go to Python in small batches for it.
     """
+    if cut:
+        with small_batches(docs.sparkSession):
+            return written(_cut(docs, benchmark), "decontaminated")
+    found = find_hits(carried(docs, "text"), benchmark)
+    return restored(found.where(~contaminated(F.col("hits"))))
+
+
+def _cut(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The documents that stay, without the words of their hits."""
     found = find_hits(carried(docs, "text"), benchmark)
     hits = F.col("hits")
     kept = found.where(~contaminated(hits))
-    if not cut:
-        return restored(kept)
     named = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
     numbered, blocks = _number_blocks(named, BLOCK_BYTES)
     if blocks == 1:

@@ -29,6 +29,7 @@ from functools import reduce
 from math import prod
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -177,9 +178,12 @@ def _with_probability(
         F.sum(f"{cell}_tokens").alias("n")
     )
     chances = cell_probabilities([tuple(r) for r in sums.collect()], targets, share)
-    fields = ", ".join(f"{n}: string" for n in names)
+    kind = pa.struct([(n, pa.string()) for n in names])
+    cells = pa.array([dict(zip(names, c, strict=False)) for c in chances], kind)
+    values = pa.array([c[-1] for c in chances], pa.float64())
+    # as Arrow: a list of rows would be read by Python workers, with the texts' join to come
     table = marked.sparkSession.createDataFrame(
-        [(c[:-1], c[-1]) for c in chances], f"__mix_cell struct<{fields}>, {chance} double"
+        pa.table({"__mix_cell": cells, chance: values})
     )
     # at most MAX_CELLS rows
     joined = marked.join(F.broadcast(table), F.col(cell) == F.col("__mix_cell"))

@@ -33,7 +33,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termpeak.llm.common import carried, checkpointed, digest_hex, lower_words, restored
+from termpeak.llm.common import (
+    carried,
+    checkpointed,
+    digest_hex,
+    lower_words,
+    restored,
+    small_batches,
+)
 from termpeak.llm.components import connected_components
 
 SHINGLE = 3
@@ -284,9 +291,10 @@ def near_duplicates(
 
     ``component_id`` is the smallest ``doc_id`` that links lead to.
     """
-    marked = checkpointed(
-        docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), width).alias("fp"))
-    )
+    with small_batches(docs.sparkSession):
+        marked = checkpointed(
+            docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), width).alias("fp"))
+        )
     firsts = checkpointed(marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
     links = fingerprint_links(firsts.select("fp"), radius)
     roots = connected_components(links)
